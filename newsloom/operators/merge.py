@@ -44,52 +44,61 @@ def new_rows(
     key = list(key)
     known = lookup_join(
         stage.select(key), incoming.select(key).distinct(), key, how="left_semi", limits=limits
-    ).distinct()
-    return lookup_join(incoming, known, key, how="left_anti", limits=limits)
+    )
+    return lookup_join(incoming, cut_lineage(known.distinct()), key, how="left_anti", limits=limits)
 
 
-def merge_flag_only(
+def unknown_keys(
     stage: DataFrame, incoming: DataFrame, key: Sequence[str], version: str = "updated_at",
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Matched rows become inactive, unknown keys are added, everything else stays."""
-    added = latest_versions(new_rows(stage, incoming, key, limits), key, version)
-    flagged = mark_superseded(stage, incoming, key, limits)
-    return flagged.unionByName(added.withColumn(ACTIVE, F.lit(True)), allowMissingColumns=True)
+    """The latest incoming version of each key the stage does not hold, active."""
+    fresh = latest_versions(new_rows(stage, incoming, key, limits), key, version)
+    return fresh.withColumn(ACTIVE, F.lit(True))
 
 
-def merge_history(
+def newer_versions(
     stage: DataFrame, incoming: DataFrame, key: Sequence[str], version: str = "updated_at",
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """A strictly newer version expires the stored one and becomes active; unknown keys are added.
+    """The latest incoming version of each key that is unknown or strictly newer than all stored, active.
 
-    "Newer" compares with the newest stored version, active or not, so stale and repeated versions
-    change nothing and a batch may be applied twice.
+    The stage is read for its keys and versions only.
     """
-    expired, accepted = history_changes(stage, incoming, key, version, limits)
-    return expired.unionByName(accepted, allowMissingColumns=True)
-
-
-def history_changes(
-    stage: DataFrame, incoming: DataFrame, key: Sequence[str], version: str = "updated_at",
-    limits: Limits = DEFAULT_LIMITS,
-) -> tuple[DataFrame, DataFrame]:
-    """The two halves of ``merge_history``: the stage with its flags set, and the versions to add."""
     key = list(key)
     batch = cut_lineage(latest_versions(incoming, key, version))
-    stored = (
+    stored = cut_lineage(
         lookup_join(stage.select(*key, version), batch.select(key), key, how="left_semi", limits=limits)
         .groupBy(key)
         .agg(F.max(version).alias("__stored"), F.lit(True).alias("__known"))
     )
-    newer = F.col("__known").isNull() | (F.col(version) > F.col("__stored")) | (
-        F.col("__stored").isNull() & F.col(version).isNotNull()
+    newer = (
+        F.col("__known").isNull()
+        | (F.col(version) > F.col("__stored"))
+        | (F.col("__stored").isNull() & F.col(version).isNotNull())
     )
-    accepted = cut_lineage(
-        lookup_join(batch, stored, key, how="left", limits=limits)
-        .filter(newer)
-        .select(batch.columns)
-        .withColumn(ACTIVE, F.lit(True))
-    )
-    return mark_superseded(stage, accepted, key, limits), accepted
+    accepted = lookup_join(batch, stored, key, how="left", limits=limits).filter(newer)
+    return cut_lineage(accepted.select(batch.columns).withColumn(ACTIVE, F.lit(True)))
+
+
+def merge_flag_only(
+    stage: DataFrame, incoming: DataFrame, key: Sequence[str], version: str = "updated_at",
+    limits: Limits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """Matched rows become inactive, unknown keys are added, everything else stays."""
+    added = unknown_keys(stage, incoming, key, version, limits)
+    flagged = mark_superseded(stage, incoming, key, limits)
+    return flagged.unionByName(added, allowMissingColumns=True)
+
+
+def merge_history(
+    stage: DataFrame, incoming: DataFrame, key: Sequence[str], version: str = "updated_at",
+    limits: Limits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """A strictly newer version expires the stored one and becomes active; unknown keys are added.
+
+    "Newer" compares with the newest stored version, active or not, so stale and repeated versions
+    change nothing and a batch may be applied twice.
+    """
+    added = newer_versions(stage, incoming, key, version, limits)
+    return mark_superseded(stage, added, key, limits).unionByName(added, allowMissingColumns=True)

@@ -72,5 +72,5 @@ def high_water_mark(rows: DataFrame, by: tuple[str, ...] = (), version: str = "u
 
 
 def newer_than(rows: DataFrame, mark, version: str = "updated_at") -> DataFrame:
-    """Rows strictly newer than ``mark``, a literal that reaches the scan as a pushed filter."""
+    """Rows strictly newer than ``mark``, which is one value and reaches the scan as a pushed filter."""
     return rows.filter(F.col(version) > F.lit(mark))

@@ -48,6 +48,11 @@ DOCUMENT = T.StructType(
     + [T.StructField("ingested_at", T.TimestampType()), T.StructField("is_active", T.BooleanType())]
 )
 
+# The month a document was published in, the folder its versions are stored under.
+MONTH = "published_month"
+BRONZE_PARTITIONS = ("source", MONTH)
+BRONZE = T.StructType(DOCUMENT.fields + [T.StructField(MONTH, T.StringType())])
+
 # The names of the nested fields in the flat table.
 FLAT_FIELDS = {
     "authors.name": "authors_name",
@@ -77,6 +82,24 @@ ANALYSIS = T.StructType([
     T.StructField("topic_distribution", T.ArrayType(T.DoubleType())),
     T.StructField("topic", T.LongType()),
 ])
+TRENDS = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("year", T.IntegerType()),
+    T.StructField("month", T.IntegerType()),
+    T.StructField("word", T.StringType()),
+    T.StructField("count", T.LongType()),
+])
+ACTIVITY = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("news_site", T.StringType()),
+    T.StructField("domain_url", T.StringType()),
+    T.StructField("count", T.LongType()),
+])
+TOPIC_TERMS = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("topic", T.LongType()),
+    T.StructField("top_terms", T.ArrayType(T.StringType())),
+])
 DIM_NEWS_SOURCE = T.StructType([
     T.StructField("source_id", T.LongType()),
     T.StructField("name", T.StringType()),
