@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.arrays import argmax_index
 from newsloom.functions.instants import parse_instant
-from newsloom.functions.stopwords import SUMMARY_STOP_WORDS, TITLE_STOP_WORDS
+from newsloom.functions.stopwords import TITLE_STOP_WORDS
 from newsloom.functions.words import clean_summary, clean_title, domain_of, tokens, without
 from newsloom.operators import content, dimensions, entities, merge, sentiment, terms, topics, trends
 from newsloom.operators.audit import stage_counts
@@ -17,7 +17,7 @@ from newsloom.operators.lookup import lookup_join
 from newsloom.session import cut_lineage
 from newsloom.sources import feeds
 from newsloom.sources.schemas import PAGE, RAW_DOCUMENT
-from newsloom.sources.tables import by_count, preview
+from newsloom.sources.tables import by_count, preview, spread
 
 QUERIES = {}
 
@@ -31,9 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents_table(spark, sf_dir) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def articles(spark, sf_dir) -> DataFrame:
     """The documents as (source, id, title, summary, news_site, url, published_at)."""
-    return table(spark, sf_dir, "documents").select(
+    return documents_table(spark, sf_dir).select(
         F.lit("articles").alias("source"),
         F.col("doc_id").cast("string").alias("id"),
         F.col("lang").alias("title"),
@@ -44,10 +48,9 @@ def articles(spark, sf_dir) -> DataFrame:
     )
 
 
-def document_tokens(spark, sf_dir) -> DataFrame:
-    """The documents as (doc_id, clean_summary, tokens)."""
-    texts = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("summary"))
-    return terms.summary_tokens(texts).drop("summary")
+def summaries(spark, sf_dir) -> DataFrame:
+    """The documents as (doc_id, summary)."""
+    return documents_table(spark, sf_dir).select("doc_id", F.col("text").alias("summary"))
 
 
 def lexicon(spark, sf_dir) -> DataFrame:
@@ -193,7 +196,7 @@ def flatten_single(spark, sf_dir):
     """One row per non-empty line of a document; a document without any keeps one row."""
     lines = F.array_remove(F.split("text", "\n"), "")
     return explode_all(
-        table(spark, sf_dir, "documents").select("doc_id", lines.alias("line")), ["line"]
+        documents_table(spark, sf_dir).select("doc_id", lines.alias("line")), ["line"]
     )
 
 
@@ -295,7 +298,7 @@ def union_missing_columns(spark, sf_dir):
 
 @query
 def clean_summaries(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", clean_summary("text").alias("clean_summary"))
+    return documents_table(spark, sf_dir).select("doc_id", clean_summary("text").alias("clean_summary"))
 
 
 @query
@@ -311,12 +314,12 @@ def _listed(words: Column) -> list[Column]:
 
 @query
 def summary_tokens(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", *_listed(tokens(clean_summary("text"))))
+    return documents_table(spark, sf_dir).select("doc_id", *_listed(tokens(clean_summary("text"))))
 
 
 @query
 def tokens_no_stopwords(spark, sf_dir):
-    return document_tokens(spark, sf_dir).select("doc_id", *_listed(F.col("tokens")))
+    return terms.summary_tokens(summaries(spark, sf_dir)).select("doc_id", *_listed(F.col("tokens")))
 
 
 @query
@@ -327,29 +330,29 @@ def title_tokens_no_stopwords(spark, sf_dir):
 
 @query
 def term_counts(spark, sf_dir):
-    return terms.term_counts(document_tokens(spark, sf_dir), ["doc_id"])
+    return terms.term_counts(summaries(spark, sf_dir), ["doc_id"])
 
 
 @query
 def vocabulary_top1000(spark, sf_dir):
-    return terms.vocabulary(document_tokens(spark, sf_dir))
+    return terms.vocabulary(summaries(spark, sf_dir))
 
 
 @query
 def document_frequency(spark, sf_dir):
-    return terms.document_frequency(document_tokens(spark, sf_dir))
+    return terms.document_frequency(summaries(spark, sf_dir))
 
 
 @query
 def tfidf(spark, sf_dir):
-    weighted = terms.tfidf(document_tokens(spark, sf_dir), key=["doc_id"])
+    weighted = terms.tfidf(summaries(spark, sf_dir), key=["doc_id"])
     return weighted.withColumn("tfidf", F.round("tfidf", 6))
 
 
 @query
 def tfidf_vocabulary(spark, sf_dir):
     """TF-IDF of the vocabulary's terms only, the features of the topic model."""
-    documents = document_tokens(spark, sf_dir)
+    documents = summaries(spark, sf_dir)
     words = cut_lineage(terms.vocabulary(documents))
     weighted = terms.tfidf(documents, words, key=["doc_id"])
     return weighted.withColumn("tfidf", F.round("tfidf", 6))
@@ -370,14 +373,14 @@ def argmax(spark, sf_dir):
 
 @query
 def lda_topics(spark, sf_dir):
-    documents = document_tokens(spark, sf_dir)
+    documents = summaries(spark, sf_dir)
     model = topics.fit_topics(documents)
     return topics.assign_topics(model, documents, ["doc_id"])
 
 
 @query
 def topic_terms(spark, sf_dir):
-    return topics.fit_topics(document_tokens(spark, sf_dir)).top_terms("articles")
+    return topics.fit_topics(summaries(spark, sf_dir)).top_terms("articles")
 
 
 @query
@@ -411,7 +414,7 @@ def word_trends_monthly(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("title")
     )
-    shipped = table(spark, sf_dir, "lineitem").select(
+    shipped = spread(table(spark, sf_dir, "lineitem")).select(
         F.lit("articles").alias("source"), F.col("l_partkey").alias("id"),
         F.col("l_shipdate").alias("published_at"),
     )
@@ -422,7 +425,7 @@ def word_trends_monthly(spark, sf_dir):
 def word_trends_by_source(spark, sf_dir):
     """Three feeds together: documents, conversations and benchmark texts, without a date."""
     feeds_ = {
-        "articles": table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id"),
+        "articles": documents_table(spark, sf_dir).withColumnRenamed("doc_id", "id"),
         "blogs": table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "id"),
         "reports": table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "id"),
     }

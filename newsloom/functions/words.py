@@ -5,13 +5,15 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters kept in summaries and titles, the token separator, the domain pattern.
-SUMMARY_DROPS = r"[^a-zA-Z\s]"
-TITLE_DROPS = r"[^a-zA-Z0-9 ]"
+# The characters dropped from lower-cased summaries and from titles, that is all but ASCII
+# letters and whitespace, and all but ASCII letters, digits and blanks; the token separator; the domain pattern.
+# A class of more than two ranges is several times slower to match, hence the named one.
+SUMMARY_DROPS = r"[^a-z\s]"
+TITLE_DROPS = r"[^\p{Alnum} ]"
 SEPARATOR = r"\s+"
 DOMAIN = r"(https?://[^/]+)"
 # Punctuation at either end of a word, which is dropped before the word is looked up.
-EDGE_PUNCTUATION = r"(?<=^|\s)\p{Punct}+|\p{Punct}+(?=\s|$)"
+EDGE_PUNCTUATION = r"(?<!\S)\p{Punct}+|\p{Punct}+(?!\S)"
 
 
 def _column(value) -> Column:

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.stopwords import SUMMARY_STOP_WORDS
-from newsloom.functions.words import domain_of
+from newsloom.functions.words import clean_summary, domain_of
 from newsloom.operators.entities import LABELS, entities
 from newsloom.operators.lookup import DEFAULT_LIMITS, Limits
 from newsloom.operators.sentiment import sentiment_scores
-from newsloom.operators.terms import summary_tokens
 from newsloom.operators.topics import assign_topics, fit_topics
 from newsloom.sources.schemas import ANALYSIS, DOCUMENT_KEY
 
@@ -29,7 +28,7 @@ def enriched(
     texts = documents.select(*TEXT_COLUMNS)
     scored = sentiment_scores(texts, lexicon, limits=limits)
     named = entities(texts, gazetteer, limits=limits)
-    cleaned = summary_tokens(texts, stop_words=[]).drop("tokens")
+    cleaned = texts.withColumn("clean_summary", clean_summary("summary"))
     empty = F.array().cast("array<string>")
     return (
         cleaned.withColumn("domain_url", domain_of("url")).drop("url")
@@ -48,8 +47,7 @@ def content_analysis(
 ) -> tuple[DataFrame, DataFrame | None]:
     """The analysis of one feed's documents and the top terms of its topics (none without any term)."""
     own = documents.filter(F.col("source") == source)
-    words = summary_tokens(own, stop_words=stop_words)
-    model = fit_topics(words)
-    topics = assign_topics(model, words)
+    model = fit_topics(own, stop_words)
+    topics = assign_topics(model, own)
     table = enriched(own, lexicon, gazetteer, limits).join(topics, list(DOCUMENT_KEY), "left")
     return table.select(ANALYSIS.fieldNames()), model.lda and model.top_terms(source)

@@ -63,22 +63,25 @@ def newer_versions(
 ) -> DataFrame:
     """The latest incoming version of each key that is unknown or strictly newer than all stored, active.
 
-    The stage is read for its keys and versions only.
+    The stage is read for its keys and versions only, and only those of incoming keys go on to be compared.
     """
     key = list(key)
     batch = cut_lineage(latest_versions(incoming, key, version))
-    stored = cut_lineage(
-        lookup_join(stage.select(*key, version), batch.select(key), key, how="left_semi", limits=limits)
-        .groupBy(key)
-        .agg(F.max(version).alias("__stored"), F.lit(True).alias("__known"))
+    stored = lookup_join(
+        stage.select(*key, F.col(version).alias("__stored")), batch.select(key), key, "left_semi",
+        limits=limits,
     )
-    newer = (
-        F.col("__known").isNull()
-        | (F.col(version) > F.col("__stored"))
-        | (F.col("__stored").isNull() & F.col(version).isNotNull())
+    arriving = batch.select(*key, F.struct(*batch.columns).alias("__arriving"))
+    compared = (
+        arriving.unionByName(stored.withColumn("__known", F.lit(True)), allowMissingColumns=True)
+        .groupBy(key)
+        .agg(F.first("__arriving", True).alias("new"), F.max("__stored").alias("old"),
+             F.max("__known").alias("known"))
     )
-    accepted = lookup_join(batch, stored, key, how="left", limits=limits).filter(newer)
-    return cut_lineage(accepted.select(batch.columns).withColumn(ACTIVE, F.lit(True)))
+    newer = F.col(f"new.{version}") > F.col("old")
+    first_known = F.col("old").isNull() & F.col(f"new.{version}").isNotNull()
+    accepted = compared.filter(F.col("known").isNull() | newer | first_known)
+    return cut_lineage(accepted.select("new.*").withColumn(ACTIVE, F.lit(True)))
 
 
 def merge_flag_only(

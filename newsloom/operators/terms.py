@@ -1,6 +1,7 @@
-"""Term counts, vocabulary, TF-IDF and keywords.
+"""Term counts, vocabulary, TF-IDF and keywords of summaries.
 
-All of it works on rows of (key, tokens), where key names the document, by default source and id.
+Documents have a key, by default source and id, and a ``summary``. Terms are the tokens of the clean summary that
+are no stop words.
 """
 
 from collections.abc import Iterable, Sequence
@@ -20,7 +21,7 @@ VOCABULARY_SIZE = 1000
 
 
 def summary_tokens(
-    documents: DataFrame, summary: str = "summary", stop_words: Iterable[str] = SUMMARY_STOP_WORDS
+    documents: DataFrame, stop_words: Iterable[str] = SUMMARY_STOP_WORDS, summary: str = "summary"
 ) -> DataFrame:
     """Add ``clean_summary`` and its ``tokens`` without stop words."""
     return documents.withColumn("clean_summary", clean_summary(summary)).withColumn(
@@ -28,37 +29,47 @@ def summary_tokens(
     )
 
 
-def term_counts(documents: DataFrame, key: Sequence[str] = DOCUMENT_KEY) -> DataFrame:
+def term_rows(
+    documents: DataFrame, key: Sequence[str] = (), stop_words: Iterable[str] = SUMMARY_STOP_WORDS,
+    distinct: bool = False,
+) -> DataFrame:
+    """One row per document and term occurrence, or per term of a document if ``distinct``.
+
+    The text is cut inside the explode: exploding a token column computed before it would make Spark add a
+    filter on its size, which cuts the text a second time.
+    """
+    words = tokens(clean_summary("summary"))
+    words = F.array_distinct(words) if distinct else words
+    rows = documents.select(*key, F.explode(words).alias("term"))
+    stop_words = list(stop_words)
+    return rows.filter(~F.col("term").isin(stop_words)) if stop_words else rows
+
+
+def term_counts(
+    documents: DataFrame, key: Sequence[str] = DOCUMENT_KEY, stop_words: Iterable[str] = SUMMARY_STOP_WORDS
+) -> DataFrame:
     """One row per document and term with the number of its occurrences, ``tf``."""
-    return (
-        documents.select(*key, F.explode("tokens").alias("term"))
-        .groupBy(*key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    return term_rows(documents, key, stop_words).groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(documents: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
+def vocabulary(
+    documents: DataFrame, size: int = VOCABULARY_SIZE, stop_words: Iterable[str] = SUMMARY_STOP_WORDS
+) -> DataFrame:
     """The ``size`` most frequent terms of all documents, equal counts in term order."""
-    return (
-        documents.select(F.explode("tokens").alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy(F.desc("count"), "term")
-        .limit(size)
-    )
+    counts = term_rows(documents, (), stop_words).groupBy("term").agg(F.count(F.lit(1)).alias("count"))
+    return counts.orderBy(F.desc("count"), "term").limit(size)
 
 
-def document_frequency(documents: DataFrame) -> DataFrame:
+def document_frequency(
+    documents: DataFrame, stop_words: Iterable[str] = SUMMARY_STOP_WORDS
+) -> DataFrame:
     """The number of documents each term occurs in, ``df``.
 
     A document counts a term once because its tokens are made distinct in its own row, so only
     pre-aggregated terms are shuffled.
     """
-    return (
-        documents.select(F.explode(F.array_distinct("tokens")).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+    rows = term_rows(documents, (), stop_words, distinct=True)
+    return rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def idf_weight(documents: int, df) -> Column:
@@ -68,7 +79,7 @@ def idf_weight(documents: int, df) -> Column:
 
 def tfidf(
     documents: DataFrame, terms: DataFrame | None = None, key: Sequence[str] = DOCUMENT_KEY,
-    limits: Limits = DEFAULT_LIMITS,
+    stop_words: Iterable[str] = SUMMARY_STOP_WORDS, limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """One row per document and term with ``tf``, ``df`` and ``tfidf``, of ``terms`` only if given.
 
@@ -76,11 +87,13 @@ def tfidf(
     size-checked, skew-proof join.
     """
     total = documents.count()
-    frequencies = document_frequency(documents)
+    frequencies = document_frequency(documents, stop_words)
     if terms is not None:
         frequencies = lookup_join(frequencies, terms.select("term"), ["term"], "left_semi", limits=limits)
     weights = frequencies.withColumn("idf", idf_weight(total, F.col("df")))
-    weighted = lookup_join(term_counts(documents, key), cut_lineage(weights), ["term"], limits=limits)
+    weighted = lookup_join(
+        term_counts(documents, key, stop_words), cut_lineage(weights), ["term"], limits=limits
+    )
     return weighted.withColumn("tfidf", F.col("tf") * F.col("idf")).drop("idf")
 
 

@@ -1,6 +1,6 @@
 """Topic model of one feed: vocabulary, TF-IDF vectors and LDA of Spark ML."""
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.arrays import dominant_topic
+from newsloom.functions.stopwords import SUMMARY_STOP_WORDS
+from newsloom.functions.words import clean_summary, tokens
 from newsloom.operators.terms import VOCABULARY_SIZE, vocabulary
 from newsloom.sources.schemas import DOCUMENT_KEY
 
@@ -37,20 +39,25 @@ class TopicModel:
         )
 
 
+def _tokens(documents: DataFrame, key: Sequence[str] = ()) -> DataFrame:
+    """The tokens of summaries, stop words included: the vocabulary has none."""
+    return documents.select(*key, tokens(clean_summary("summary")).alias("tokens"))
+
+
 def fit_topics(
-    documents: DataFrame, topics: int = TOPICS, iterations: int = ITERATIONS,
-    size: int = VOCABULARY_SIZE, seed: int = SEED,
+    documents: DataFrame, stop_words: Iterable[str] = SUMMARY_STOP_WORDS, topics: int = TOPICS,
+    iterations: int = ITERATIONS, size: int = VOCABULARY_SIZE, seed: int = SEED,
 ) -> TopicModel:
-    """Fit on documents with ``tokens``.
+    """Fit on the summaries of documents.
 
     Only the vocabulary, at most ``size`` terms by construction, and the model, topics by terms, are on the
     driver. The count vectors are kept for the iterations, so the texts are read twice, and freed afterwards.
     """
-    words = [row["term"] for row in vocabulary(documents, size).collect()]
+    words = [row["term"] for row in vocabulary(documents, size, stop_words).collect()]
     if not words:
         return TopicModel(None, None, None)
     counts = CountVectorizerModel.from_vocabulary(words, inputCol="tokens", outputCol="counts")
-    vectors = counts.transform(documents.select("tokens")).select("counts")
+    vectors = counts.transform(_tokens(documents)).select("counts")
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         idf = IDF(inputCol="counts", outputCol="features").fit(vectors)
@@ -76,7 +83,7 @@ def assign_topics(
             F.array().cast("array<double>").alias("topic_distribution"),
             F.lit(None).cast("long").alias("topic"),
         )
-    vectors = model.idf.transform(model.counts.transform(documents.select(*key, "tokens")))
+    vectors = model.idf.transform(model.counts.transform(_tokens(documents, key)))
     return model.lda.transform(vectors).select(
         *key, vector_to_array("distribution").alias("topic_distribution")
     ).withColumn("topic", dominant_topic("topic_distribution"))

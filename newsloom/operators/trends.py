@@ -9,25 +9,25 @@ from newsloom.functions.stopwords import TITLE_STOP_WORDS
 from newsloom.functions.words import clean_title, domain_of, tokens
 
 
-def title_words(documents: DataFrame, stop_words: Iterable[str] = TITLE_STOP_WORDS) -> DataFrame:
-    """One row per title word that is no stop word; a document without any has no row."""
-    exploded = documents.withColumn("word", F.explode(tokens(clean_title("title"))))
-    return exploded.filter(~F.col("word").isin(list(stop_words)))
+def word_rows(
+    titled: DataFrame, *columns: str, stop_words: Iterable[str] = TITLE_STOP_WORDS
+) -> DataFrame:
+    """``columns`` and ``word``: one row per title word that is no stop word."""
+    rows = titled.select(*columns, F.explode(tokens(clean_title("title"))).alias("word"))
+    return rows.filter(~F.col("word").isin(list(stop_words)))
 
 
 def word_trends(documents: DataFrame, stop_words: Iterable[str] = TITLE_STOP_WORDS) -> DataFrame:
     """How often each word stands in the titles of a source and month.
 
-    Documents are (source, id, title, published_at). The words are counted per task before the shuffle, so
-    a frequent word costs one row per task and month.
+    Documents are (source, id, title, published_at). A document without any word has no row. The words are
+    counted per task before the shuffle, so a frequent word costs one row per task and month.
     """
-    return (
-        title_words(documents, stop_words)
-        .groupBy(
-            "source", F.year("published_at").alias("year"), F.month("published_at").alias("month"), "word"
-        )
-        .agg(F.count("id").alias("count"))
+    dated = documents.select(
+        "source", F.year("published_at").alias("year"), F.month("published_at").alias("month"), "id", "title"
     )
+    words = word_rows(dated, "source", "year", "month", "id", stop_words=stop_words)
+    return words.groupBy("source", "year", "month", "word").agg(F.count("id").alias("count"))
 
 
 def source_activity(documents: DataFrame) -> DataFrame:

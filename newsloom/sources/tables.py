@@ -24,6 +24,12 @@ def scan(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFra
     return table.select(*columns) if columns else table
 
 
+def spread(table: DataFrame, *key: str) -> DataFrame:
+    """A scanned table over all cores: one of few files is repartitioned, one of many is left as it is."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, *key)
+
+
 def scan_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table in its canonical schema, or no rows if it was never written."""
     if exists(spark, path):

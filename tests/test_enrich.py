@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from newsloom.functions.arrays import argmax_index, dominant_topic
-from newsloom.operators import content, entities, sentiment, terms, topics
+from newsloom.operators import content, entities, sentiment, topics
 
 TEXTS = [
     ("1", "A good day. Not a bad one!"), ("2", "never was it so good"), ("3", "not x y z good"),
@@ -97,7 +97,7 @@ def test_dominant_topic_of_nothing_is_null(spark):
 def test_topics(spark):
     texts = [("s", str(i), "rocket fuel engine" if i % 2 else "market price bank") for i in range(40)]
     texts.append(("s", "empty", "the of"))
-    documents = terms.summary_tokens(spark.createDataFrame(texts, "source string, id string, summary string"))
+    documents = spark.createDataFrame(texts, "source string, id string, summary string")
     model = topics.fit_topics(documents, topics=2)
     assigned = {row["id"]: row for row in topics.assign_topics(model, documents).collect()}
     assert len(assigned) == 41 and assigned["empty"]["topic"] is None
@@ -109,8 +109,6 @@ def test_topics(spark):
 
 
 def test_topics_without_any_term(spark):
-    documents = terms.summary_tokens(
-        spark.createDataFrame([("s", "1", "the"), ("s", "2", None)], "source string, id string, summary string")
-    )
+    documents = spark.createDataFrame([("s", "1", "the"), ("s", "2", None)], "source string, id string, summary string")
     model = topics.fit_topics(documents)
     assert rows(topics.assign_topics(model, documents).select("id", "topic")) == [("1", None), ("2", None)]

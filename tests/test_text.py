@@ -63,7 +63,7 @@ TEXTS = [("s", "1", "moon rocket moon"), ("s", "2", "rocket fuel"), ("s", "3", "
 
 @pytest.fixture
 def documents(spark):
-    return terms.summary_tokens(spark.createDataFrame(TEXTS, "source string, id string, summary string"))
+    return spark.createDataFrame(TEXTS, "source string, id string, summary string")
 
 
 def test_term_counts_and_vocabulary(documents):
@@ -77,7 +77,7 @@ def test_term_counts_and_vocabulary(documents):
 def test_tfidf_equals_spark_ml(documents, limits):
     vocabulary = [row["term"] for row in terms.vocabulary(documents).collect()]
     counts = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="tokens", outputCol="counts")
-    counted = counts.transform(documents)
+    counted = counts.transform(terms.summary_tokens(documents))
     vectors = IDF(inputCol="counts", outputCol="features").fit(counted).transform(counted)
     ml = {
         (row["id"], term): weight
@@ -92,8 +92,8 @@ def test_tfidf_equals_spark_ml(documents, limits):
 
 
 def test_term_in_every_document_weighs_nothing(spark):
-    both = spark.createDataFrame([("s", "1", ["a", "b"]), ("s", "2", ["a"])], "source string, id string, tokens array<string>")
-    weights = {r["term"]: r["tfidf"] for r in terms.tfidf(both).filter("id = '1'").collect()}
+    both = spark.createDataFrame([("s", "1", "a b"), ("s", "2", "a")], "source string, id string, summary string")
+    weights = {r["term"]: r["tfidf"] for r in terms.tfidf(both, stop_words=[]).filter("id = '1'").collect()}
     assert weights["a"] == 0.0 and weights["b"] > 0
 
 
