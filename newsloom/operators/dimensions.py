@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from newsloom.operators.lookup import DEFAULT_LIMITS, Limits, lookup_join
-from newsloom.session import cut_lineage
+from newsloom.session import cut_lineage, frozen
 
 
 def numbered(members: DataFrame, order: Sequence[str], name: str, first: int = 1) -> DataFrame:
@@ -16,7 +16,7 @@ def numbered(members: DataFrame, order: Sequence[str], name: str, first: int = 1
     The members are range-partitioned, sorted within partitions and stored; a member's number is its place
     in its partition plus the sizes of the partitions before. Only one row per partition is brought together.
     """
-    stored = cut_lineage(members.repartitionByRange(*order).sortWithinPartitions(*order))
+    stored = frozen(members.repartitionByRange(*order).sortWithinPartitions(*order))
     # monotonically_increasing_id is the partition number << 33 plus the row's place in the partition.
     placed = stored.withColumn("__place", F.monotonically_increasing_id()).withColumns({
         "__part": F.shiftrightunsigned("__place", 33),

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators.lookup import DEFAULT_LIMITS, Limits, lookup_join
@@ -11,16 +11,21 @@ from newsloom.session import cut_lineage
 ACTIVE = "is_active"
 
 
+def _rank(rows: DataFrame, key: Sequence[str], version: str) -> Column:
+    """The order of versions: equal ones are decided by a hash of the content, a null one comes first."""
+    content = [F.col(name) for name in rows.columns if name not in key]
+    return F.struct(F.col(version), F.xxhash64(*content))
+
+
 def latest_versions(rows: DataFrame, key: Sequence[str], version: str = "updated_at") -> DataFrame:
-    """The newest row per key; equal versions are decided by a hash of the content.
+    """The newest row per key.
 
     An aggregate, not a window: copies of one key are reduced before the shuffle, so a key with a third
-    of all rows costs one row per task. A null version is older than any other.
+    of all rows costs one row per task.
     """
     key = list(key)
-    content = F.struct(*[F.col(name) for name in rows.columns])
-    rank = F.struct(F.col(version), F.xxhash64(*[F.col(n) for n in rows.columns if n not in key]))
-    newest = rows.groupBy(key).agg(F.max_by(content, rank).alias("newest"))
+    content = F.struct(*rows.columns)
+    newest = rows.groupBy(key).agg(F.max_by(content, _rank(rows, key, version)).alias("newest"))
     return newest.select("newest.*")
 
 
@@ -63,24 +68,26 @@ def newer_versions(
 ) -> DataFrame:
     """The latest incoming version of each key that is unknown or strictly newer than all stored, active.
 
-    The stage is read for its keys and versions only, and only those of incoming keys go on to be compared.
+    The stage is read for its keys and versions only, and only those of incoming keys are compared, in the
+    same aggregate that reduces the incoming rows to the latest.
     """
     key = list(key)
-    batch = cut_lineage(latest_versions(incoming, key, version))
     stored = lookup_join(
-        stage.select(*key, F.col(version).alias("__stored")), batch.select(key), key, "left_semi",
-        limits=limits,
+        stage.select(*key, F.col(version).alias("stored")), incoming.select(key).distinct(), key,
+        "left_semi", limits=limits,
+    ).withColumn("known", F.lit(True))
+    arriving = incoming.select(
+        *key, F.struct(*incoming.columns).alias("content"), _rank(incoming, key, version).alias("rank")
     )
-    arriving = batch.select(*key, F.struct(*batch.columns).alias("__arriving"))
     compared = (
-        arriving.unionByName(stored.withColumn("__known", F.lit(True)), allowMissingColumns=True)
+        arriving.unionByName(stored, allowMissingColumns=True)
         .groupBy(key)
-        .agg(F.first("__arriving", True).alias("new"), F.max("__stored").alias("old"),
-             F.max("__known").alias("known"))
+        .agg(F.max_by("content", "rank").alias("new"), F.max("stored").alias("stored"),
+             F.max("known").alias("known"))
     )
-    newer = F.col(f"new.{version}") > F.col("old")
-    first_known = F.col("old").isNull() & F.col(f"new.{version}").isNotNull()
-    accepted = compared.filter(F.col("known").isNull() | newer | first_known)
+    newer = F.col(f"new.{version}") > F.col("stored")
+    first_version = F.col("stored").isNull() & F.col(f"new.{version}").isNotNull()
+    accepted = compared.filter(F.col("known").isNull() | newer | first_version)
     return cut_lineage(accepted.select("new.*").withColumn(ACTIVE, F.lit(True)))
 
 

@@ -43,14 +43,16 @@ def merge_batch(
 ) -> int:
     """Merge typed documents of a feed into bronze and return how many versions were added.
 
-    Only the months that hold or get a changed version are rewritten. They are written beside the table first
-    and copied in when complete, so the table is never both read and overwritten by one job.
+    Only months with a superseded version are rewritten; new versions of other months are appended. The
+    rewritten months are stored beside the table and copied in when complete, so no job overwrites what it
+    reads. Rewriting comes first: if the load dies before the append, the next one still finds the rest newer.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy is one of {POLICIES}, not {policy!r}")
     key = list(DOCUMENT_KEY)
+    path = warehouse.path("bronze")
     stage = warehouse.table("bronze").filter(F.col("source") == source)
-    incoming = cut_lineage(with_month(documents).select(BRONZE.fieldNames()))
+    incoming = with_month(documents).select(BRONZE.fieldNames())
     if policy == "history":
         added = merge.newer_versions(stage, incoming, key, limits=limits)
         superseding = added
@@ -58,21 +60,19 @@ def merge_batch(
         added = cut_lineage(merge.unknown_keys(stage, incoming, key, limits=limits))
         superseding = incoming
     hit = lookup_join(
-        stage.select(*key, MONTH), superseding.select(key).distinct(), key, "left_semi", limits=limits
+        stage.filter("is_active").select(*key, MONTH), superseding.select(key).distinct(), key, "left_semi",
+        limits=limits,
     )
     # One row per month, so this stays small however many documents there are.
-    changed = hit.select(MONTH).union(added.select(MONTH)).distinct()
-    months = [row[MONTH] for row in changed.collect()]
-    if not months:
-        return 0
-    touched = stage.filter(F.col(MONTH).isin(months))
-    merged = merge.mark_superseded(touched, superseding, key, limits).unionByName(added)
-
-    staged = warehouse.path(f"bronze__{source}")
-    tables.replace_table(merged, staged)
-    tables.overwrite_partitions(
-        warehouse.spark.read.schema(BRONZE).parquet(staged), warehouse.path("bronze"), BRONZE_PARTITIONS
-    )
+    months = [row[MONTH] for row in hit.select(MONTH).distinct().collect()]
+    if months:
+        rewritten = F.col(MONTH).isin(months)
+        merged = merge.mark_superseded(stage.filter(rewritten), superseding, key, limits)
+        complete = cut_lineage(merged.unionByName(added.filter(rewritten)))
+        tables.overwrite_partitions(complete, path, BRONZE_PARTITIONS)
+        tables.append(added.filter(~rewritten), path, BRONZE_PARTITIONS)
+    else:
+        tables.append(added, path, BRONZE_PARTITIONS)
     return added.count()
 
 

@@ -1,6 +1,7 @@
 """Session defaults and the shared folder that cuts lineage."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +44,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, into the shared folder, and go on from there."""
+    """Compute ``df`` once, into a Parquet table in the shared folder, and go on from there.
+
+    What follows reads only the columns it needs, and a lost executor costs no recomputation.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def frozen(df: DataFrame) -> DataFrame:
+    """``df`` stored in the shared folder with its partitions and the order of their rows."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
