@@ -37,7 +37,7 @@ def documents_table(spark, sf_dir) -> DataFrame:
 
 def articles(spark, sf_dir) -> DataFrame:
     """The documents as (source, id, title, summary, news_site, url, published_at)."""
-    return documents_table(spark, sf_dir).select(
+    renamed = table(spark, sf_dir, "documents").select(
         F.lit("articles").alias("source"),
         F.col("doc_id").cast("string").alias("id"),
         F.col("lang").alias("title"),
@@ -46,6 +46,7 @@ def articles(spark, sf_dir) -> DataFrame:
         F.format_string("https://%s.example.org/%s", "lang", "source").alias("url"),
         F.lit(None).cast("timestamp").alias("published_at"),
     )
+    return spread(renamed, "id")
 
 
 def summaries(spark, sf_dir) -> DataFrame:
@@ -398,8 +399,8 @@ def entity_lists(spark, sf_dir):
 @query
 def content_analysis(spark, sf_dir):
     """The analysis table without the topics, which only the model can tell."""
-    table_ = content.enriched(articles(spark, sf_dir), lexicon(spark, sf_dir), gazetteer(spark, sf_dir))
-    return table_.withColumns({
+    score, tag = content.table_features(lexicon(spark, sf_dir), gazetteer(spark, sf_dir))
+    return content.enriched(articles(spark, sf_dir), score, tag).withColumns({
         "sentiment_score": F.round("sentiment_score", 6),
         **{name: F.array_join(name, "|") for name in entities.LABELS.values()},
     })

@@ -1,6 +1,7 @@
 """The content-analysis table: text features, sentiment, entities and topics of each document."""
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,25 +16,34 @@ from newsloom.sources.schemas import ANALYSIS, DOCUMENT_KEY
 
 TEXT_COLUMNS = ("source", "id", "title", "summary", "news_site", "url")
 
+# From documents to their scores or entity lists, keyed by source and id.
+Feature = Callable[[DataFrame], DataFrame]
 
-def enriched(
-    documents: DataFrame, lexicon: DataFrame, gazetteer: DataFrame, limits: Limits = DEFAULT_LIMITS
-) -> DataFrame:
+
+def table_features(
+    lexicon: DataFrame, gazetteer: DataFrame, limits: Limits = DEFAULT_LIMITS
+) -> tuple[Feature, Feature]:
+    """Sentiment by a lexicon table and entities by a gazetteer table."""
+    return (
+        partial(sentiment_scores, lexicon=lexicon, limits=limits),
+        partial(entities, gazetteer=gazetteer, limits=limits),
+    )
+
+
+def enriched(documents: DataFrame, score: Feature, tag: Feature) -> DataFrame:
     """Documents with clean summary, domain, sentiment and entities: everything but the topics.
 
-    The features are already partitioned by document key when they are joined, so the texts are shuffled
-    once. Without a match the score is 0 and the entity lists are empty.
+    The features come partitioned by document key or are small, so the texts are shuffled at most once.
+    Without a match the score is 0 and the entity lists are empty.
     """
     key = list(DOCUMENT_KEY)
     texts = documents.select(*TEXT_COLUMNS)
-    scored = sentiment_scores(texts, lexicon, limits=limits)
-    named = entities(texts, gazetteer, limits=limits)
     cleaned = texts.withColumn("clean_summary", clean_summary("summary"))
     empty = F.array().cast("array<string>")
     return (
         cleaned.withColumn("domain_url", domain_of("url")).drop("url")
-        .join(scored, key, "left")
-        .join(named, key, "left")
+        .join(score(texts), key, "left")
+        .join(tag(texts), key, "left")
         .withColumns({
             "sentiment_score": F.coalesce("sentiment_score", F.lit(0.0)),
             **{name: F.coalesce(name, empty) for name in LABELS.values()},
@@ -42,12 +52,11 @@ def enriched(
 
 
 def content_analysis(
-    documents: DataFrame, source: str, lexicon: DataFrame, gazetteer: DataFrame,
-    stop_words: Iterable[str] = SUMMARY_STOP_WORDS, limits: Limits = DEFAULT_LIMITS,
+    documents: DataFrame, source: str, score: Feature, tag: Feature,
+    stop_words: Iterable[str] = SUMMARY_STOP_WORDS,
 ) -> tuple[DataFrame, DataFrame | None]:
     """The analysis of one feed's documents and the top terms of its topics (none without any term)."""
     own = documents.filter(F.col("source") == source)
     model = fit_topics(own, stop_words)
-    topics = assign_topics(model, own)
-    table = enriched(own, lexicon, gazetteer, limits).join(topics, list(DOCUMENT_KEY), "left")
+    table = enriched(own, score, tag).join(assign_topics(model, own), list(DOCUMENT_KEY), "left")
     return table.select(ANALYSIS.fieldNames()), model.lda and model.top_terms(source)

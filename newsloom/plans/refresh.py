@@ -8,6 +8,7 @@ Pages are expected under L/articles, L/blogs and L/reports.
 import argparse
 import uuid
 
+from newsloom.operators.content import Feature, table_features
 from newsloom.plans.bronze import POLICIES, load_feed
 from newsloom.plans.gold import refresh_gold
 from newsloom.plans.silver import refresh_analysis, refresh_trends
@@ -19,7 +20,7 @@ STEPS = ("load", "analysis", "trends", "gold")
 
 
 def refresh(
-    warehouse: Warehouse, landing: str, lexicon, gazetteer, sources=SOURCES, steps=STEPS,
+    warehouse: Warehouse, landing: str, score: Feature, tag: Feature, sources=SOURCES, steps=STEPS,
     policy: str = "history", run_id: str | None = None,
 ) -> str:
     """Run the steps for each feed, then the star schema; returns the run's id in the audit table."""
@@ -28,7 +29,7 @@ def refresh(
         if "load" in steps:
             load_feed(warehouse, source, f"{landing.rstrip('/')}/{source}", run_id, policy)
         if "analysis" in steps:
-            refresh_analysis(warehouse, source, run_id, lexicon, gazetteer)
+            refresh_analysis(warehouse, source, run_id, score, tag)
         if "trends" in steps:
             refresh_trends(warehouse, source, run_id)
     if "gold" in steps:
@@ -47,10 +48,12 @@ def main(arguments=None) -> None:
     parser.add_argument("--policy", default="history", choices=POLICIES)
     options = parser.parse_args(arguments)
     spark = build_session("newsloom refresh")
+    score, tag = table_features(
+        spark.read.parquet(options.lexicon), spark.read.parquet(options.gazetteer)
+    )
     refresh(
-        Warehouse(spark, options.warehouse), options.landing,
-        spark.read.parquet(options.lexicon), spark.read.parquet(options.gazetteer),
-        options.source, options.step, options.policy,
+        Warehouse(spark, options.warehouse), options.landing, score, tag, options.source,
+        options.step, options.policy,
     )
 
 

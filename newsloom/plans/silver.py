@@ -2,12 +2,9 @@
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
-
 from newsloom.functions.stopwords import SUMMARY_STOP_WORDS, TITLE_STOP_WORDS
 from newsloom.operators.audit import Audit
-from newsloom.operators.content import content_analysis
-from newsloom.operators.lookup import DEFAULT_LIMITS, Limits
+from newsloom.operators.content import Feature, content_analysis
 from newsloom.operators.trends import source_activity, word_trends
 from newsloom.plans.bronze import active_documents
 from newsloom.plans.warehouse import Warehouse
@@ -31,13 +28,16 @@ def refresh_trends(
 
 
 def refresh_analysis(
-    warehouse: Warehouse, source: str, run_id: str, lexicon: DataFrame, gazetteer: DataFrame,
-    stop_words: Iterable[str] = SUMMARY_STOP_WORDS, limits: Limits = DEFAULT_LIMITS,
+    warehouse: Warehouse, source: str, run_id: str, score: Feature, tag: Feature,
+    stop_words: Iterable[str] = SUMMARY_STOP_WORDS,
 ) -> None:
-    """Rebuild the feed's part of ``analysis`` and ``topic_terms``; other feeds stay as they are."""
+    """Rebuild the feed's part of ``analysis`` and ``topic_terms``; other feeds stay as they are.
+
+    ``score`` and ``tag`` are usually ``table_features`` of a lexicon and a gazetteer.
+    """
     with Audit(warehouse.spark, warehouse.path("audit"), run_id, f"analysis {source}") as audit:
         analysis, top_terms = content_analysis(
-            active_documents(warehouse, source), source, lexicon, gazetteer, stop_words, limits
+            active_documents(warehouse, source), source, score, tag, stop_words
         )
         path = warehouse.path("analysis")
         audit.stage("analysis", audit.count(analysis, lambda rows: overwrite_partitions(rows, path)))

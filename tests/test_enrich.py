@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from newsloom.functions.arrays import argmax_index, dominant_topic
-from newsloom.operators import content, entities, sentiment, topics
+from newsloom.operators import content, entities, models, sentiment, topics
 
 TEXTS = [
     ("1", "A good day. Not a bad one!"), ("2", "never was it so good"), ("3", "not x y z good"),
@@ -76,7 +76,7 @@ def test_an_empty_gazetteer_or_lexicon_finds_nothing(spark, documents, lexicon,
 
 def test_enriched_keeps_every_document(spark, documents, lexicon, limits):
     gazetteer = spark.createDataFrame([("It", "ORG")], "phrase string, label string")
-    table = content.enriched(documents, lexicon, gazetteer, limits)
+    table = content.enriched(documents, *content.table_features(lexicon, gazetteer, limits))
     by_id = {row["id"]: row for row in table.collect()}
     assert len(by_id) == len(TEXTS)
     assert by_id["4"]["sentiment_score"] == 0.0 and by_id["4"]["persons"] == []
@@ -112,3 +112,19 @@ def test_topics_without_any_term(spark):
     documents = spark.createDataFrame([("s", "1", "the"), ("s", "2", None)], "source string, id string, summary string")
     model = topics.fit_topics(documents)
     assert rows(topics.assign_topics(model, documents).select("id", "topic")) == [("1", None), ("2", None)]
+
+
+def test_models_take_the_place_of_tables(documents):
+    def load_scorer():
+        return lambda texts: texts.str.len() / 100.0
+
+    def load_tagger():
+        return lambda texts: [[(word, "PERSON") for word in text.split() if word == "good"] * 2 for text in texts]
+
+    table = content.enriched(
+        documents, lambda texts: models.model_scores(texts, load_scorer),
+        lambda texts: models.model_entities(texts, load_tagger),
+    )
+    found = {row["id"]: (row["sentiment_score"], row["persons"]) for row in table.collect()}
+    assert found["2"] == (pytest.approx(0.21), ["good"]) and found["4"] == found["5"] == found["6"] == (0.0, [])
+    assert len(found) == len(TEXTS)

@@ -3,6 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from test_feeds import AUTHOR, document, land
 
+from newsloom.operators.content import table_features
 from newsloom.plans.bronze import active_documents, flat_documents, load_feed
 from newsloom.plans.refresh import refresh
 from newsloom.plans.warehouse import Warehouse
@@ -24,7 +25,7 @@ def feed(offset, count=12, **fields):
 
 @pytest.fixture
 def tools(spark):
-    return (
+    return table_features(
         spark.createDataFrame([("good", 1.9), ("bad", -2.5)], "token string, valence double"),
         spark.createDataFrame([("Luna", "GPE")], "phrase string, label string"),
     )
