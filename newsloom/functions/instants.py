@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The two timestamp formats of the feeds and the start of an empty history.
 SECONDS_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
@@ -17,5 +18,7 @@ def parse_instant(text) -> Column:
     )
 
 
-def history_start() -> Column:
-    return F.lit(HISTORY_START).cast("timestamp")
+def history_start(kind: T.DataType = T.TimestampType()) -> Column:
+    """The start of an empty history as a timestamp, with or without a zone."""
+    text = HISTORY_START.removesuffix("Z") if kind == T.TimestampNTZType() else HISTORY_START
+    return F.lit(text).cast(kind)

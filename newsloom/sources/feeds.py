@@ -67,7 +67,7 @@ def high_water_mark(rows: DataFrame, by: tuple[str, ...] = (), version: str = "u
     """The newest version stored, per ``by`` if given; the start of history where there is none."""
     kind = rows.schema[version].dataType
     return rows.groupBy(*by).agg(
-        F.coalesce(F.max(version), history_start().cast(kind)).alias("high_water_mark")
+        F.coalesce(F.max(version), history_start(kind)).alias("high_water_mark")
     )
 
 
