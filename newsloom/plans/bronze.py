@@ -69,10 +69,10 @@ def merge_batch(
         rewritten = F.col(MONTH).isin(months)
         merged = merge.mark_superseded(stage.filter(rewritten), superseding, key, limits)
         complete = cut_lineage(merged.unionByName(added.filter(rewritten)))
-        tables.overwrite_partitions(complete, path, BRONZE_PARTITIONS)
-        tables.append(added.filter(~rewritten), path, BRONZE_PARTITIONS)
+        tables.overwrite_partitions(tables.few_files(complete, MONTH), path, BRONZE_PARTITIONS)
+        tables.append(tables.few_files(added.filter(~rewritten), MONTH), path, BRONZE_PARTITIONS)
     else:
-        tables.append(added, path, BRONZE_PARTITIONS)
+        tables.append(tables.few_files(added, MONTH), path, BRONZE_PARTITIONS)
     return added.count()
 
 

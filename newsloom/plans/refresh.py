@@ -1,6 +1,8 @@
 """Command line: load feeds and refresh the tables built from them.
 
-    spark-submit -m newsloom.plans.refresh --warehouse W --landing L --lexicon X --gazetteer G
+    python -m newsloom.plans.refresh --warehouse W --landing L --lexicon X --gazetteer G
+
+or ``spark-submit --py-files newsloom.zip newsloom/plans/refresh.py`` with the same options.
 
 Pages are expected under L/articles, L/blogs and L/reports.
 """

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Names of a table that waits to be swapped in, and of one that was swapped out.
+STAGED, RETIRED = "__new", "__old"
+
+
 def _path(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -32,6 +36,7 @@ def spread(table: DataFrame, *key: str) -> DataFrame:
 
 def scan_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table in its canonical schema, or no rows if it was never written."""
+    recover(spark, path)
     if exists(spark, path):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
@@ -42,33 +47,43 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] = ("source"
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def few_files(df: DataFrame, *by: str) -> DataFrame:
+    """Bring the rows of a partition together for writing; a hot partition is split into even parts."""
+    return df.hint("rebalance", *[F.col(name) for name in by])
+
+
 def append(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     writer = df.write.mode("append")
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def replace_table(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+def replace_table(df: DataFrame, path: str) -> None:
     """Write ``df`` beside ``path`` and swap it in, so that ``df`` may read ``path`` itself.
 
-    A failed write leaves the table as it was. The swap is two renames, not one atomic step: a crash
-    between them leaves the old table at ``path + "__old"`` to be renamed back.
+    A failed write leaves the table as it was. The swap is two renames, not one atomic step; ``recover``
+    undoes a half one.
     """
     spark = df.sparkSession
-    staged, retired = path.rstrip("/") + "__new", path.rstrip("/") + "__old"
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*by) if by else writer).parquet(staged)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path + STAGED)
     target, files = _path(spark, path)
-    staged, _ = _path(spark, staged)
-    retired, _ = _path(spark, retired)
+    staged, _ = _path(spark, path + STAGED)
+    retired, _ = _path(spark, path + RETIRED)
     if files.exists(target):
-        if files.exists(retired):
-            files.delete(retired, True)
+        files.delete(retired, True)
         _rename(files, target, retired)
     _rename(files, staged, target)
     files.delete(retired, True)
     spark.catalog.refreshByPath(path)
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Bring back the old table if a swap stopped between its two renames."""
+    target, files = _path(spark, path)
+    retired, _ = _path(spark, path + RETIRED)
+    if files.exists(retired) and not files.exists(target):
+        _rename(files, retired, target)
+
+
 def _rename(files, source, target) -> None:
     if not files.rename(source, target):
         raise OSError(f"cannot rename {source} to {target}")

@@ -5,7 +5,7 @@ from test_feeds import AUTHOR, document, land
 
 from newsloom.operators.content import table_features
 from newsloom.plans.bronze import active_documents, flat_documents, load_feed
-from newsloom.plans.refresh import refresh
+from newsloom.plans.refresh import main, refresh
 from newsloom.plans.warehouse import Warehouse
 from newsloom.sources import tables
 from newsloom.streaming.landing import stream_feed
@@ -159,3 +159,31 @@ def test_partition_overwrite_append_and_schema_growth(spark, tmp_path):
     grown = tables.scan(spark, path, ["source", "news_site"])
     assert dict(rows(grown.groupBy("news_site").count())) == {None: 4, "S": 1}
     assert tables.scan_or_empty(spark, str(tmp_path / "none"), grown.schema).count() == 0
+
+
+def test_a_half_swap_is_undone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = spark.range(1).schema
+    spark.range(4).write.parquet(path + tables.RETIRED)
+    assert tables.scan_or_empty(spark, path, schema).count() == 4
+    tables.replace_table(spark.range(2), path)
+    assert tables.scan_or_empty(spark, path, schema).count() == 2
+
+
+def test_few_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = spark.range(10_000).withColumn("month", F.pmod(F.xxhash64("id"), F.lit(5))).repartition(20)
+    tables.append(tables.few_files(frame, "month"), path, ["month"])
+    assert len(list((tmp_path / "t").glob("month=*/*.parquet"))) == 5
+    assert spark.read.parquet(path).count() == 10_000
+
+
+def test_command_line(spark, tmp_path):
+    land(tmp_path / "landing" / "reports", feed(0))
+    spark.createDataFrame([("good", 1.9)], "token string, valence double").write.parquet(str(tmp_path / "x"))
+    spark.createDataFrame([("Luna", "GPE")], "phrase string, label string").write.parquet(str(tmp_path / "g"))
+    main([
+        "--warehouse", str(tmp_path / "w"), "--landing", str(tmp_path / "landing"), "--lexicon", str(tmp_path / "x"),
+        "--gazetteer", str(tmp_path / "g"), "--source", "reports", "--step", "load", "trends",
+    ])
+    assert Warehouse(spark, str(tmp_path / "w")).table("trends").filter("word = 'big'").agg(F.sum("count")).first()[0] == 12
