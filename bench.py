@@ -9,8 +9,8 @@ from newsloom.session import build_session
 
 HEADLINE = """
 word_trends_monthly word_trends_by_source source_activity flatten_cross merge_history merge_flag_only
-clean_summaries tokens_no_stopwords term_counts vocabulary_top1000 tfidf keywords_top5 argmax sentiment_score
-entity_lists content_analysis lda_topics dim_news_source fact_article page_envelope_unnest typed_rejects
+clean_summary tokens_no_stopwords term_counts vocabulary_top1000 tfidf keywords_top5 argmax_index sentiment
+entities content_analysis lda_topics dim_news_source fact_article page_envelope_unnest typed_rejects
 """.split()
 
 

@@ -204,9 +204,9 @@ ORACLE = {
         SELECT c_name AS name, c_acctbal AS balance, c_mktsegment AS segment, CAST(NULL AS INTEGER) AS nation
         FROM customer
         UNION ALL SELECT s_name, s_acctbal, NULL, s_nationkey FROM supplier""",
-    "clean_summaries": f"SELECT doc_id, {clean_summary('text')} AS clean_summary FROM documents",
-    "clean_titles": f"SELECT conv_id, turn, {clean_title('text')} AS clean_title FROM conversations",
-    "summary_tokens": f"""
+    "clean_summary": f"SELECT doc_id, {clean_summary('text')} AS clean_summary FROM documents",
+    "clean_title": f"SELECT conv_id, turn, {clean_title('text')} AS clean_title FROM conversations",
+    "tokens": f"""
         SELECT doc_id, CAST(len(ws) AS INTEGER) AS n_tokens, array_to_string(ws, ' ') AS token_text
         FROM (SELECT doc_id, {tokens(clean_summary("text"))} AS ws FROM documents)""",
     "tokens_no_stopwords": f"""
@@ -232,12 +232,12 @@ ORACLE = {
                    row_number() OVER (PARTITION BY doc_id ORDER BY tfidf DESC, term) AS rank
             FROM weighted)
         SELECT doc_id, CAST(rank AS INTEGER) AS rank, term, tfidf FROM ranked WHERE rank <= 5""",
-    "argmax": """
+    "argmax_index": """
         SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS topic
         FROM embeddings""",
-    "sentiment_score": f"""
+    "sentiment": f"""
         WITH {ARTICLES}, {LEXICON}, {SENTIMENT} SELECT id, sentiment_score FROM scores""",
-    "entity_lists": f"""
+    "entities": f"""
         WITH {ARTICLES}, {GAZETTEER}, {ENTITIES} SELECT id, persons, organizations, locations FROM lists""",
     "content_analysis": f"""
         WITH {ARTICLES}, {LEXICON}, {GAZETTEER}, {SENTIMENT}, {ENTITIES}

@@ -22,11 +22,16 @@ from newsloom.sources.tables import by_count, preview, spread
 QUERIES = {}
 
 
-def query(run):
-    QUERIES[run.__name__] = run
+def query(run, name: str | None = None):
+    QUERIES[name or run.__name__] = run
     return run
 
 
+def named(name: str):
+    """Register under a name that an operator of this module already has."""
+    return lambda run: query(run, name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -297,12 +302,12 @@ def union_missing_columns(spark, sf_dir):
 # Text
 
 
-@query
+@named("clean_summary")
 def clean_summaries(spark, sf_dir):
     return documents_table(spark, sf_dir).select("doc_id", clean_summary("text").alias("clean_summary"))
 
 
-@query
+@named("clean_title")
 def clean_titles(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", clean_title("text").alias("clean_title")
@@ -313,7 +318,7 @@ def _listed(words: Column) -> list[Column]:
     return [F.size(words).alias("n_tokens"), F.array_join(words, " ").alias("token_text")]
 
 
-@query
+@named("tokens")
 def summary_tokens(spark, sf_dir):
     return documents_table(spark, sf_dir).select("doc_id", *_listed(tokens(clean_summary("text"))))
 
@@ -367,7 +372,7 @@ def keywords_top5(spark, sf_dir):
 # Enrichment
 
 
-@query
+@named("argmax_index")
 def argmax(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", argmax_index("embedding").alias("topic"))
 
@@ -384,13 +389,13 @@ def topic_terms(spark, sf_dir):
     return topics.fit_topics(summaries(spark, sf_dir)).top_terms("articles")
 
 
-@query
+@named("sentiment")
 def sentiment_score(spark, sf_dir):
     scored = sentiment.sentiment_scores(articles(spark, sf_dir), lexicon(spark, sf_dir))
     return scored.select("id", F.round("sentiment_score", 6).alias("sentiment_score"))
 
 
-@query
+@named("entities")
 def entity_lists(spark, sf_dir):
     found = entities.entities(articles(spark, sf_dir), gazetteer(spark, sf_dir))
     return found.select("id", *[F.array_join(name, "|").alias(name) for name in entities.LABELS.values()])
