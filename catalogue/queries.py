@@ -420,7 +420,7 @@ def word_trends_monthly(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("title")
     )
-    shipped = spread(table(spark, sf_dir, "lineitem")).select(
+    shipped = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
         F.lit("articles").alias("source"), F.col("l_partkey").alias("id"),
         F.col("l_shipdate").alias("published_at"),
     )

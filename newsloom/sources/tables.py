@@ -29,7 +29,7 @@ def scan(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFra
 
 
 def spread(table: DataFrame, *key: str) -> DataFrame:
-    """A scanned table over all cores: one of few files is repartitioned, one of many is left as it is."""
+    """A scanned table over all cores: one of few files is partitioned by ``key``, others are left as they are."""
     cores = table.sparkSession.sparkContext.defaultParallelism
     return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, *key)
 
