@@ -12,14 +12,14 @@ from newsloom.session import cut_lineage
 
 @dataclass(frozen=True)
 class Limits:
-    """What may be broadcast: a whole table up to ``table_bytes``, else the ``heavy_keys`` hottest keys.
+    """What may be broadcast: a whole table up to ``table_bytes``, else the rows of heavy keys.
 
-    Without the hottest H keys no single key holds more than 1/H of the rows, so the remaining
-    shuffle join has no hot partition.
+    A key is heavy with more than 1 / ``heavy_keys`` of the rows, so there are fewer than ``heavy_keys`` of
+    them, and without them no key is large enough to fill a task of the shuffle join.
     """
 
     table_bytes: int = 64 << 20
-    heavy_keys: int = 1000
+    heavy_keys: int = 10_000
 
 
 DEFAULT_LIMITS = Limits()
@@ -52,8 +52,8 @@ def lookup_join(
     """Join ``facts`` to ``table``, which has at most one row per key ``on``.
 
     A table of checked size is broadcast, so the facts are not shuffled at all. Beyond that the rows of
-    the hottest keys meet their few table rows by broadcast and only the others are shuffled: the result
-    is the same, and no key, null included, can fill one task. ``table`` is read more than once, so pass
+    heavy keys meet their few table rows by broadcast and only the others are shuffled: the result is the
+    same, and no key, null included, can fill one task. ``table`` is read more than once, so pass
     an expensive one through ``cut_lineage`` first.
     """
     on = list(on)
@@ -68,9 +68,9 @@ def lookup_join(
     if fits(table, limits):
         return join(facts, table, broadcast=True)
 
-    heavy = cut_lineage(
-        facts.groupBy(on).count().orderBy(F.desc("count"), *on).limit(limits.heavy_keys).select(on)
-    )
+    counts = cut_lineage(facts.groupBy(on).count())
+    total = counts.agg(F.sum("count").alias("total")).first()["total"] or 0
+    heavy = counts.filter(F.col("count") * limits.heavy_keys > total).select(on)
     hot_facts = join(facts, heavy, True, "left_semi", True)
     cold_facts = join(facts, heavy, True, "left_anti", True)
     hot_table = join(table, heavy, True, "left_semi", True)

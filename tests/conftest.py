@@ -23,7 +23,7 @@ def spark():
 @pytest.fixture(params=["broadcast", "split"])
 def limits(request):
     """Once with room to broadcast, once with none: the result must not differ."""
-    return Limits() if request.param == "broadcast" else Limits(table_bytes=0, heavy_keys=2)
+    return Limits() if request.param == "broadcast" else Limits(table_bytes=0, heavy_keys=5)
 
 
 def rows(df):

@@ -38,7 +38,7 @@ def test_same_result_with_and_without_broadcast(spark, limits, how, null_safe):
 def test_split_join_equals_brute_force(spark, facts):
     frame = spark.createDataFrame(facts, "key string, n int")
     lookup = spark.createDataFrame([("a", 1.0), ("c", 2.0)], "key string, v double")
-    joined = lookup_join(frame, lookup, ["key"], "left", limits=Limits(table_bytes=0, heavy_keys=1))
+    joined = lookup_join(frame, lookup, ["key"], "left", limits=Limits(table_bytes=0, heavy_keys=3))
     assert rows(joined) == expected(facts, [("a", 1.0), ("c", 2.0)], "left", False)
 
 
@@ -60,6 +60,7 @@ def test_size_is_measured(spark):
 def test_hot_keys_are_not_shuffled(spark):
     facts = spark.createDataFrame(SKEWED, "key string, n int")
     lookup = spark.createDataFrame(TABLE, "key string, v double")
-    joined = lookup_join(facts, lookup, ["key"], limits=Limits(table_bytes=0, heavy_keys=1))
+    joined = lookup_join(facts, lookup, ["key"], limits=Limits(table_bytes=0, heavy_keys=3))
+    assert rows(joined) == expected(SKEWED, TABLE, "inner", False)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("strategy=broadcast") >= 3
