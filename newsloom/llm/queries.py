@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.cascade import METRICS, quality_rules, rule_order
 from newsloom.llm.line_dedup import line_dedup
+from newsloom.llm.simhash import as_hex, fingerprints, near_duplicates
+from newsloom.session import cut_lineage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +27,14 @@ def op6_quality_rules(spark, sf_dir):
     return judged.select("doc_id", *METRICS, failed.alias("base_failed"), "kept")
 
 
-QUERIES = {run.__name__: run for run in (op1_line_dedup, op6_quality_rules)}
+def op9_simhash(spark, sf_dir):
+    """Fingerprint and component of each document."""
+    marked = cut_lineage(fingerprints(table(spark, sf_dir, "documents"), ["doc_id"]))
+    found = near_duplicates(marked)
+    return found.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {run.__name__: run for run in (op1_line_dedup, op6_quality_rules, op9_simhash)}
 
 ORACLE = {
     "op1_line_dedup": r"""
