@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm.cascade import METRICS, quality_rules, rule_order
+from newsloom.llm.decontaminate import overlaps
 from newsloom.llm.line_dedup import line_dedup
 from newsloom.llm.simhash import as_hex, fingerprints, near_duplicates
 from newsloom.session import cut_lineage
@@ -27,6 +28,11 @@ def op6_quality_rules(spark, sf_dir):
     return judged.select("doc_id", *METRICS, failed.alias("base_failed"), "kept")
 
 
+def op8_decontaminate(spark, sf_dir):
+    """Where documents overlap benchmark items."""
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash(spark, sf_dir):
     """Fingerprint and component of each document."""
     marked = cut_lineage(fingerprints(table(spark, sf_dir, "documents"), ["doc_id"]))
@@ -34,7 +40,7 @@ def op9_simhash(spark, sf_dir):
     return found.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {run.__name__: run for run in (op1_line_dedup, op6_quality_rules, op9_simhash)}
+QUERIES = {run.__name__: run for run in (op1_line_dedup, op6_quality_rules, op8_decontaminate, op9_simhash)}
 
 ORACLE = {
     "op1_line_dedup": r"""
