@@ -254,3 +254,19 @@ def overlaps(
         *[F.col(f"`{c}`") for c in keep], "item_id", F.negative("__best.early").alias("doc_token"),
         *[F.col(f"__best.{m}").alias(m) for m in made[1:]],
     )
+
+
+def without_overlaps(
+    docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", broadcast_bytes: int = 32 << 20
+) -> DataFrame:
+    """``docs`` without the rows that overlap an item. Rows with equal id and text share a verdict, null ids too.
+
+    What is dropped is stored and measured: within ``broadcast_bytes`` it is broadcast, else joined by id and text.
+    """
+    body = F.col(f"`{text}`")
+    named = docs.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(body).alias("hash"), body.alias("text"))
+    found = overlaps(named, benchmark, ["id", "hash"])
+    leaked = cut_lineage(found.select(F.col("id").alias("__id"), F.col("hash").alias("__hash")).distinct())
+    small = F.broadcast(leaked) if leaked.count() * 32 <= broadcast_bytes else leaked
+    same = F.col(f"`{id_column}`").eqNullSafe(F.col("__id")) & (F.xxhash64(body) == F.col("__hash"))
+    return docs.join(small, same, "left_anti")

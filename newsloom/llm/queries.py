@@ -1,11 +1,13 @@
 """One query per dealt operator, over its whole table, and the SQL of those that SQL can express."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm.cascade import METRICS, quality_rules, rule_order
 from newsloom.llm.decontaminate import overlaps
 from newsloom.llm.line_dedup import line_dedup
+from newsloom.llm.packing import pack
 from newsloom.llm.simhash import as_hex, fingerprints, near_duplicates
 from newsloom.session import cut_lineage
 
@@ -14,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_line_dedup(spark, sf_dir):
     """Documents without the boilerplate lines of their source."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -28,6 +34,14 @@ def op6_quality_rules(spark, sf_dir):
     return judged.select("doc_id", *METRICS, failed.alias("base_failed"), "kept")
 
 
+def op7_packing(spark, sf_dir):
+    """The pieces of all documents in near-equal windows of at most 2048 ids."""
+    pieces = pack(table(spark, sf_dir, "documents"), ["doc_id"], tokenizer())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op8_decontaminate(spark, sf_dir):
     """Where documents overlap benchmark items."""
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -40,7 +54,7 @@ def op9_simhash(spark, sf_dir):
     return found.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {run.__name__: run for run in (op1_line_dedup, op6_quality_rules, op8_decontaminate, op9_simhash)}
+QUERIES = {run.__name__: run for run in (op1_line_dedup, op6_quality_rules, op7_packing, op8_decontaminate, op9_simhash)}
 
 ORACLE = {
     "op1_line_dedup": r"""
