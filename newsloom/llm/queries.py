@@ -8,6 +8,7 @@ from newsloom.llm.cascade import METRICS, quality_rules, rule_order
 from newsloom.llm.decontaminate import overlaps
 from newsloom.llm.line_dedup import line_dedup
 from newsloom.llm.packing import pack
+from newsloom.llm.sharding import shard
 from newsloom.llm.simhash import as_hex, fingerprints, near_duplicates
 from newsloom.session import cut_lineage
 
@@ -54,7 +55,12 @@ def op9_simhash(spark, sf_dir):
     return found.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {run.__name__: run for run in (op1_line_dedup, op6_quality_rules, op7_packing, op8_decontaminate, op9_simhash)}
+def op10_sharding(spark, sf_dir):
+    """The shard and place of each document."""
+    return shard(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+QUERIES = {run.__name__: run for run in (op1_line_dedup, op6_quality_rules, op7_packing, op8_decontaminate, op9_simhash, op10_sharding)}
 
 ORACLE = {
     "op1_line_dedup": r"""
