@@ -8,6 +8,7 @@ from newsloom.llm.cascade import METRICS, quality_rules, rule_order
 from newsloom.llm.decontaminate import overlaps
 from newsloom.llm.line_dedup import line_dedup
 from newsloom.llm.packing import pack
+from newsloom.llm.records import new_folder, read_index, read_records, write_records
 from newsloom.llm.sharding import shard
 from newsloom.llm.simhash import as_hex, fingerprints, near_duplicates
 from newsloom.session import cut_lineage
@@ -27,6 +28,16 @@ def op1_line_dedup(spark, sf_dir):
     return line_dedup(docs)
 
 
+def op2_records(spark, sf_dir):
+    """What the record files say of each document once they are read back."""
+    folder = new_folder(spark)
+    write_records(table(spark, sf_dir, "documents"), folder, tokenizer())
+    read = read_records(spark, folder).select("file", "number", "doc_id", F.crc32("ids").alias("ids_crc32"),
+                                              (F.octet_length("ids") / 4).cast("long").alias("n_tokens"))
+    placed = read.join(read_index(spark, folder).select("file", "number", "start"), ["file", "number"])
+    return placed.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op6_quality_rules(spark, sf_dir):
     """Word, symbol and repetition counts of each document, and the cascade's verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -60,7 +71,7 @@ def op10_sharding(spark, sf_dir):
     return shard(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
-QUERIES = {run.__name__: run for run in (op1_line_dedup, op6_quality_rules, op7_packing, op8_decontaminate, op9_simhash, op10_sharding)}
+QUERIES = {run.__name__: run for run in (op1_line_dedup, op2_records, op6_quality_rules, op7_packing, op8_decontaminate, op9_simhash, op10_sharding)}
 
 ORACLE = {
     "op1_line_dedup": r"""
