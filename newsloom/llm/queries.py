@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm.cascade import METRICS, quality_rules, rule_order
+from newsloom.llm.credentials import BASE, secret_spans, written
 from newsloom.llm.decontaminate import overlaps
 from newsloom.llm.line_dedup import line_dedup
 from newsloom.llm.packing import pack
@@ -38,6 +39,15 @@ def op2_records(spark, sf_dir):
     return placed.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_credentials(spark, sf_dir):
+    """Base spans of each document, and all spans with the weak ones that others complete."""
+    found = secret_spans(table(spark, sf_dir, "documents"), ["doc_id"])
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    return found.select(
+        "doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("linked")).alias("spans")
+    )
+
+
 def op6_quality_rules(spark, sf_dir):
     """Word, symbol and repetition counts of each document, and the cascade's verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,7 +81,7 @@ def op10_sharding(spark, sf_dir):
     return shard(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
-QUERIES = {run.__name__: run for run in (op1_line_dedup, op2_records, op6_quality_rules, op7_packing, op8_decontaminate, op9_simhash, op10_sharding)}
+QUERIES = {run.__name__: run for run in (op1_line_dedup, op2_records, op4_credentials, op6_quality_rules, op7_packing, op8_decontaminate, op9_simhash, op10_sharding)}
 
 ORACLE = {
     "op1_line_dedup": r"""
