@@ -9,6 +9,7 @@ from newsloom.llm.credentials import BASE, secret_spans, written
 from newsloom.llm.decontaminate import overlaps
 from newsloom.llm.line_dedup import line_dedup
 from newsloom.llm.packing import pack
+from newsloom.llm.pseudonyms import pseudonymize
 from newsloom.llm.records import new_folder, read_index, read_records, write_records
 from newsloom.llm.sharding import shard
 from newsloom.llm.simhash import as_hex, fingerprints, near_duplicates
@@ -39,6 +40,11 @@ def op2_records(spark, sf_dir):
     return placed.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_pseudonyms(spark, sf_dir):
+    """Documents with pseudonyms for personal values. The key is an example; a real one comes from a secret store."""
+    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), "example key")
+
+
 def op4_credentials(spark, sf_dir):
     """Base spans of each document, and all spans with the weak ones that others complete."""
     found = secret_spans(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -81,7 +87,7 @@ def op10_sharding(spark, sf_dir):
     return shard(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
-QUERIES = {run.__name__: run for run in (op1_line_dedup, op2_records, op4_credentials, op6_quality_rules, op7_packing, op8_decontaminate, op9_simhash, op10_sharding)}
+QUERIES = {run.__name__: run for run in (op1_line_dedup, op2_records, op3_pseudonyms, op4_credentials, op6_quality_rules, op7_packing, op8_decontaminate, op9_simhash, op10_sharding)}
 
 ORACLE = {
     "op1_line_dedup": r"""
