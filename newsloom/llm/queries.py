@@ -9,6 +9,7 @@ from newsloom.llm.credentials import BASE, secret_spans, written
 from newsloom.llm.decontaminate import overlaps
 from newsloom.llm.line_dedup import line_dedup
 from newsloom.llm.packing import pack
+from newsloom.llm.perplexity import classify
 from newsloom.llm.pseudonyms import pseudonymize
 from newsloom.llm.records import new_folder, read_index, read_records, write_records
 from newsloom.llm.sharding import shard
@@ -54,6 +55,12 @@ def op4_credentials(spark, sf_dir):
     )
 
 
+def op5_perplexity(spark, sf_dir):
+    """Perplexity of each document under a model of all documents labelled good, and whether its language allows it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return classify(docs, table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id"))
+
+
 def op6_quality_rules(spark, sf_dir):
     """Word, symbol and repetition counts of each document, and the cascade's verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -87,7 +94,13 @@ def op10_sharding(spark, sf_dir):
     return shard(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
-QUERIES = {run.__name__: run for run in (op1_line_dedup, op2_records, op3_pseudonyms, op4_credentials, op6_quality_rules, op7_packing, op8_decontaminate, op9_simhash, op10_sharding)}
+QUERIES = {
+    run.__name__: run
+    for run in (
+        op1_line_dedup, op2_records, op3_pseudonyms, op4_credentials, op5_perplexity, op6_quality_rules, op7_packing,
+        op8_decontaminate, op9_simhash, op10_sharding,
+    )
+}
 
 ORACLE = {
     "op1_line_dedup": r"""
