@@ -33,36 +33,53 @@ BLOCK = 128  # windows
 END_ID = 1
 
 
-def karmarkar_karp(sizes: Sequence[int], windows: int) -> list[list[int]]:
-    """The indices of ``sizes`` in each window. A partial partition is sorted by load, fullest first."""
+def karmarkar_karp(sizes: Sequence[int], windows: int) -> np.ndarray:
+    """The window of each of ``sizes``.
+
+    A partial partition is its loads, fullest first, and how it came about: the two that were merged and the order in
+    which their sums were sorted. At the end the windows are read off from the last one back to the pieces.
+    """
+    n = len(sizes)
     if windows == 1:
-        return [list(range(len(sizes)))]
-    heap = []
+        return np.zeros(n, np.int64)
+    merges, heap = [], []
     for i, size in enumerate(sizes):
         loads = np.zeros(windows, np.int64)
         loads[0] = size
-        heap.append((-int(size), i, loads, [[i]] + [[] for _ in range(windows - 1)]))
+        heap.append((-int(size), i, loads))
     heapq.heapify(heap)
-    count = len(heap)
     while len(heap) > 1:
-        _, _, a, in_a = heapq.heappop(heap)
-        _, _, b, in_b = heapq.heappop(heap)
-        loads = a + b[::-1]
-        order = np.argsort(-loads, kind="stable")
+        _, a, loads_a = heapq.heappop(heap)
+        _, b, loads_b = heap[0]
+        loads = loads_a + loads_b[::-1]
+        order = (-loads).argsort(kind="stable")
         loads = loads[order]
-        merged = [x + y if x and y else x or y for x, y in zip(in_a, reversed(in_b))]
-        heapq.heappush(heap, (int(loads[-1] - loads[0]), count, loads, [merged[k] for k in order]))
-        count += 1
-    return heap[0][3] if heap else [[] for _ in range(windows)]
+        heapq.heapreplace(heap, (int(loads[-1] - loads[0]), n + len(merges), loads))
+        merges.append((a, b, order))
+    found = np.zeros(n, np.int64)
+    place = {n + len(merges) - 1: np.arange(windows)}  # the final window of each of a partition's windows
+    for number in range(len(merges) - 1, -1, -1):
+        a, b, order = merges[number]
+        final = place.pop(n + number)
+        for child, at in ((a, order), (b, windows - 1 - order)):
+            if child < n:
+                found[child] = final[np.flatnonzero(at == 0)[0]]
+            else:
+                place[child] = moved = np.empty(windows, np.int64)
+                moved[at] = final
+    return found
 
 
 def packed(sizes: Sequence[int], capacity: int = CAPACITY) -> list[list[int]]:
-    """Windows that hold no more than ``capacity``; each size must be within it."""
+    """The indices in each window, none above ``capacity``; each size must be within it."""
     windows = max(1, -(-int(sum(sizes)) // capacity))
     while True:
         found = karmarkar_karp(sizes, windows)
-        if all(sum(sizes[i] for i in window) <= capacity for window in found):
-            return found
+        if np.bincount(found, weights=sizes, minlength=windows).max(initial=0) <= capacity:
+            filled = [[] for _ in range(windows)]
+            for i, window in enumerate(found.tolist()):
+                filled[window].append(i)
+            return [window for window in filled if window]
         windows += 1
 
 
@@ -104,12 +121,12 @@ def pack(
         order, sequence, offset = [], [], []
         for window in packed([len(w[3]) for w in waiting], capacity):
             at = 0
-            for i in sorted(window):
+            for i in window:
                 order.append(i)
                 sequence.append(number)
                 offset.append(at)
                 at += len(waiting[i][3])
-            number += bool(window)
+            number += 1
         rows = [waiting[i] for i in order]
         columns = [kept_of(rows, k) for k in range(len(keep))]
         lengths = [len(r[3]) for r in rows]
