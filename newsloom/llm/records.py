@@ -30,7 +30,7 @@ from newsloom.llm.tokens import ID, encoder
 from newsloom.session import shared_folder
 
 END_ID = 2
-FILE_BYTES = 16 << 20
+FILE_BYTES = 8 << 20
 PIECE = 256  # bytes of a message whose sum is made in one row
 POLYNOMIAL = 0x82F63B78  # fixed values of CRC-32C and its mask
 MASK_ADDED = 0xA282EAD8
@@ -197,6 +197,7 @@ def data_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def _write_index(spark: SparkSession, folder: str) -> None:
     def listed(batches):
+        encoder.cache_clear()  # a worker that encoded before needs its memory now
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 content = content.as_py()
@@ -235,6 +236,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """(file, number, doc_id, ids) of every sequence, checked; ids as little-endian unsigned 32-bit numbers."""
 
     def read(batches):
+        encoder.cache_clear()
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 content = content.as_py()

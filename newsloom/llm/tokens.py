@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 SEPARATOR = "\x01"  # a chunk of its own: no white space, letter or digit, and one id
 TOGETHER = 256  # chunks that one call of the library encodes, with separators between them
-REMEMBERED = 1_200_000  # chunks a worker keeps; beyond that its memory starts afresh, which changes no result
+REMEMBERED = 600_000  # chunks a worker keeps; beyond that its memory starts afresh, which changes no result
 SLICE = 1 << 23  # bytes of text encoded at once
 ID = np.dtype("<u4")
 # Letters that have one small form and no decomposed spelling of their own, then ASCII signs but the apostrophe: the
