@@ -49,9 +49,12 @@ def op3_pseudonyms(spark, sf_dir):
 def op4_credentials(spark, sf_dir):
     """Base spans of each document, and all spans with the weak ones that others complete."""
     found = secret_spans(table(spark, sf_dir, "documents"), ["doc_id"])
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+
+    def count(kind):
+        return F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
-        "doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("linked")).alias("spans")
+        "doc_id", *map(count, BASE), F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("linked")).alias("spans")
     )
 
 
