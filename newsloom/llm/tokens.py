@@ -16,8 +16,8 @@ import pyarrow.compute as pc
 
 SEPARATOR = "\x01"  # a chunk of its own: no white space, letter or digit, and one id
 TOGETHER = 256  # chunks that one call of the library encodes, with separators between them
-REMEMBERED = 600_000  # chunks a worker keeps; beyond that its memory starts afresh, which changes no result
-SLICE = 1 << 23  # bytes of text encoded at once
+REMEMBERED = 400_000  # chunks a worker keeps; beyond that its memory starts afresh, which changes no result
+SLICE = 1 << 21  # bytes of text encoded at once
 ID = np.dtype("<u4")
 # Letters that have one small form and no decomposed spelling of their own, then ASCII signs but the apostrophe: the
 # tokenizer cuts between the two and takes each as one word.
@@ -52,13 +52,13 @@ class Encoder:
 
     def _forget(self):
         self.place: dict[str, int] = {}
-        self.first, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, ID)
+        self.first, self.count, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, ID)
 
     def _store(self, chunks: list[str], ids: list[list[int]]) -> None:
         self.place.update(zip(chunks, range(len(self.place), len(self.place) + len(chunks))))
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        count = np.fromiter(map(len, ids), np.int32, len(ids))
         flat = np.fromiter((i for x in ids for i in x), ID, int(count.sum()))
-        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
+        self.first = np.concatenate([self.first, (len(self.ids) + np.cumsum(count) - count).astype(np.int32)])
         self.count = np.concatenate([self.count, count])
         self.ids = np.concatenate([self.ids, flat])
 
@@ -109,12 +109,14 @@ class Encoder:
         self._remember(distinct)
         if collects:
             gc.enable()
-        at = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
+        at = np.fromiter(map(self.place.__getitem__, distinct), np.int32, len(distinct))
         at = at[coded.indices.to_numpy(zero_copy_only=False)]
         count = self.count[at]
         ends = np.cumsum(count)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.first[at] - (ends - count), count) + np.arange(total)]
+        from_place = np.repeat((self.first[at] - (ends - count)).astype(np.int32), count)
+        from_place += np.arange(total, dtype=np.int32)
+        ids = self.ids[from_place]
         bounds = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
         found = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
         for i in np.flatnonzero(odd):
@@ -125,6 +127,7 @@ class Encoder:
         """One array of ids for each text, in order, some megabytes of text at a time."""
         for start, end in slices(texts, SLICE):
             yield from self._slice(texts.slice(start, end - start))
+            pa.default_memory_pool().release_unused()
 
 
 def slices(texts: pa.Array, size: int):
