@@ -188,16 +188,26 @@ def segments(docs: DataFrame, keep: Sequence[str], text: str, table: np.ndarray,
 
 
 def best_overlap(tokens: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
-    """(item position, length, agreeing tokens) of the densest stretch where token i + shift meets item token i."""
+    """(item position, length, agreeing tokens) of the stretch with most agreeing tokens of those where AGREE agree.
+
+    Token i + shift meets item token i. With a gain for each agreeing token and a loss for each other, such that AGREE
+    of them make up for the rest, a stretch is good enough if its sum is not negative; for each end, the
+    earliest start is where the running minimum first comes down to the end's level.
+    """
     low, high = max(0, -shift), min(len(item), len(tokens) - shift)
     if high <= low:
         return 0, 0, 0
     same = tokens[low + shift : high + shift] == item[low:high]
-    score = np.concatenate([[0.0], np.cumsum(np.where(same, 1 - AGREE, -AGREE))])  # above zero: over AGREE agree
-    gain = score - np.minimum.accumulate(score)
-    end = int(np.argmax(gain))
-    start = int(np.argmin(score[: end + 1]))
-    return low + start, end - start, int(same[start:end].sum())
+    gain = round(100 * (1 - AGREE))
+    level = np.concatenate([[0], np.cumsum(np.where(same, gain, gain - 100))])
+    agreeing = np.concatenate([[0], np.cumsum(same)])
+    starts = np.searchsorted(-np.minimum.accumulate(level), -level, side="left")
+    end = int(np.argmax(agreeing - agreeing[starts]))
+    inside = np.flatnonzero(same[starts[end] : end])
+    if not len(inside):
+        return 0, 0, 0
+    first = int(starts[end])
+    return low + first + int(inside[0]), int(inside[-1] - inside[0]) + 1, len(inside)
 
 
 def overlaps(
