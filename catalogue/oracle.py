@@ -31,6 +31,11 @@ def spoken(text: str) -> str:
     return f"list_filter(list_transform({tokens(text)}, lambda t: {bare}), lambda t: t <> '')"
 
 
+def spoken_tokens(text: str) -> str:
+    bare = "regexp_replace(t, '^[[:punct:]]+|[[:punct:]]+$', '', 'g')"
+    return f"list_transform({tokens(text)}, lambda t: CASE WHEN length({bare}) > 2 THEN {bare} ELSE t END)"
+
+
 def numbered_words(words: str, key: str, table: str) -> str:
     """key, word and its place, one row per word."""
     return f"""
@@ -58,7 +63,7 @@ lexicon AS (
     SELECT DISTINCT word AS token, CAST(length(word) % 9 - 4 AS DOUBLE) AS valence
     FROM (SELECT unnest({tokens(clean_summary("text"))}) AS word FROM benchmark))"""
 SENTIMENT = f"""
-said AS ({numbered_words(spoken("lower(summary)"), "id", "articles")}),
+said AS ({numbered_words(spoken_tokens("lower(summary)"), "id", "articles")}),
 marked AS (
     SELECT id, word, word IN ({quoted(NEGATIONS)}) OR contains(word, 'n''t') AS negation, place FROM said),
 valued AS (
@@ -71,9 +76,10 @@ scores AS (SELECT id, round(total / sqrt(total * total + 15), 6) AS sentiment_sc
 
 GAZETTEER = f"""
 gazetteer AS (
-    SELECT DISTINCT array_to_string(list_slice({tokens("text")}, 1, item_id % 3 + 1), ' ') AS phrase,
-           ['PERSON', 'ORG', 'GPE'][item_id % 3 + 1] AS label
-    FROM benchmark)"""
+    SELECT DISTINCT array_to_string(list_slice(ws, first, first + size - 1), ' ') AS phrase, label
+    FROM (SELECT ws, size, label, unnest(range(1, greatest(len(ws), 1) + 1, size)) AS first
+          FROM (SELECT {tokens("text")} AS ws, item_id % 3 + 1 AS size,
+                       ['PERSON', 'ORG', 'GPE'][item_id % 3 + 1] AS label FROM benchmark)))"""
 
 
 def names(label: str, column: str) -> str:
@@ -252,12 +258,12 @@ ORACLE = {
         ORDER BY count DESC, year, month, word LIMIT 10""",
     "word_trends_by_source": f"""
         WITH titled AS (
-            SELECT 'articles' AS source, text AS title FROM documents
-            UNION ALL SELECT 'blogs', text FROM conversations
-            UNION ALL SELECT 'reports', text FROM benchmark),
-        worded AS (SELECT source, unnest({TITLE_WORDS}) AS word FROM titled)
-        SELECT source, CAST(NULL AS INTEGER) AS year, CAST(NULL AS INTEGER) AS month, word, count(*) AS count
-        FROM worded GROUP BY source, word""",
+            SELECT 'articles' AS source, text AS title, doc_id AS id FROM documents
+            UNION ALL SELECT 'blogs', text, conv_id FROM conversations
+            UNION ALL SELECT 'reports', text, item_id FROM benchmark),
+        worded AS (SELECT source, DATE '1970-01-01' + CAST(id AS INTEGER) AS day, unnest({TITLE_WORDS}) AS word FROM titled)
+        SELECT source, CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month, word, count(*) AS count
+        FROM worded GROUP BY ALL""",
     "source_activity": f"WITH {ACTIVITY} SELECT source, news_site, domain_url, count FROM activity",
     "dim_news_source": f"""
         WITH {ACTIVITY}
@@ -285,9 +291,38 @@ ORACLE = {
         FROM placed p JOIN sites s USING (source, news_site, domain_url)
         LEFT JOIN topics t ON t.id = p.id AND t.source = p.source
         LEFT JOIN dim_topic d ON d.topic = t.topic AND d.source = p.source""",
+    "fact_article_measures": f"""
+        WITH {ARTICLES}, {TOPICS}, {LEXICON}, {GAZETTEER}, {SENTIMENT}, {ENTITIES},
+        placed AS (SELECT *, regexp_extract(url, '(https?://[^/]+)', 1) AS domain_url FROM articles),
+        sites AS (
+            SELECT *, row_number() OVER (ORDER BY {NATURAL}) AS source_id
+            FROM (SELECT DISTINCT source, news_site, domain_url FROM placed))
+        SELECT p.id AS article_id, s.source_id, d.topic_id, p.source, p.title, p.summary,
+               {clean_summary("p.summary")} AS clean_summary, coalesce(persons, '') AS persons,
+               coalesce(organizations, '') AS organizations, coalesce(locations, '') AS locations,
+               coalesce(sentiment_score, 0) AS sentiment_score,
+               (SELECT array_to_string([CAST(CAST(floor(CAST(x AS DOUBLE) * 1000) AS BIGINT) AS VARCHAR) FOR x IN embedding], '|')
+                FROM embeddings WHERE CAST(vec_id AS VARCHAR) = p.id) AS topic_distribution, t.topic
+        FROM placed p JOIN sites s USING (source, news_site, domain_url)
+        LEFT JOIN topics t ON t.id = p.id AND t.source = p.source
+        LEFT JOIN dim_topic d ON d.topic = t.topic AND d.source = p.source
+        LEFT JOIN scores ON scores.id = p.id LEFT JOIN lists ON lists.id = p.id""",
+    "lda_topics_checked": f"""
+        WITH {DOCUMENT_TERMS},
+        kept AS (SELECT term FROM frequencies ORDER BY total DESC, term LIMIT 1000),
+        worded AS (SELECT DISTINCT doc_id FROM counts WHERE term IN (SELECT term FROM kept))
+        SELECT doc_id, CASE WHEN worded.doc_id IS NULL THEN 0 ELSE 1 END::DOUBLE AS mass,
+               worded.doc_id IS NULL AS no_topic, true AS in_range
+        FROM documents LEFT JOIN worded USING (doc_id)""",
+    "topic_terms_checked": "SELECT range AS topic, CAST(10 AS BIGINT) AS n_terms, CAST(10 AS BIGINT) AS n_known FROM range(5)",
+    "topic_vectors": f"""
+        WITH {DOCUMENT_TERMS},
+        kept AS (SELECT term FROM frequencies ORDER BY total DESC, term LIMIT 1000)
+        SELECT doc_id, term, tfidf AS weight FROM weighted WHERE tfidf > 0 AND term IN (SELECT term FROM kept)""",
     "audit_log": f"""
         WITH {ORDER_FEED}
         SELECT 'load articles' AS process_name, CASE reason WHEN '' THEN 'accepted' ELSE 'rejected' END AS stage,
                'Completed' AS status, count(*) AS record_count
         FROM feed GROUP BY ALL""",
 }
+ORACLE["merge_stored"] = ORACLE["merge_history"]

@@ -3,6 +3,9 @@
 The tables stand in for feeds: documents are articles, pages give URLs, orders are versions of a record.
 """
 
+import uuid
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,12 +14,14 @@ from newsloom.functions.instants import parse_instant
 from newsloom.functions.stopwords import TITLE_STOP_WORDS
 from newsloom.functions.words import clean_summary, clean_title, domain_of, tokens, without
 from newsloom.operators import content, dimensions, entities, merge, sentiment, terms, topics, trends
-from newsloom.operators.audit import stage_counts
-from newsloom.operators.flatten import explode_all, flatten_documents
+from newsloom.operators.audit import Audit
+from newsloom.operators.flatten import flatten_documents
 from newsloom.operators.lookup import lookup_join
-from newsloom.session import cut_lineage
+from newsloom.plans import bronze
+from newsloom.plans.warehouse import Warehouse
+from newsloom.session import cut_lineage, shared_folder
 from newsloom.sources import feeds
-from newsloom.sources.schemas import PAGE, RAW_DOCUMENT
+from newsloom.sources.schemas import ANALYSIS, RAW_DOCUMENT, SOCIALS
 from newsloom.sources.tables import by_count, preview, spread
 
 QUERIES = {}
@@ -37,7 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents_table(spark, sf_dir) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def articles(spark, sf_dir) -> DataFrame:
@@ -51,7 +56,7 @@ def articles(spark, sf_dir) -> DataFrame:
         F.format_string("https://%s.example.org/%s", "lang", "source").alias("url"),
         F.lit(None).cast("timestamp").alias("published_at"),
     )
-    return spread(renamed, "id")
+    return spread(renamed)
 
 
 def summaries(spark, sf_dir) -> DataFrame:
@@ -66,13 +71,13 @@ def lexicon(spark, sf_dir) -> DataFrame:
 
 
 def gazetteer(spark, sf_dir) -> DataFrame:
-    """Names of one to three words from the start of each benchmark text, a label each."""
+    """Names of one to three words, one after the other through the whole of each benchmark text, a label each."""
     words = table(spark, sf_dir, "benchmark").select("item_id", tokens("text").alias("words"))
     size = (F.col("item_id") % 3 + 1).cast("int")
     label = F.get(F.array(*[F.lit(name) for name in entities.LABELS]), (F.col("item_id") % 3).cast("int"))
-    return words.select(
-        F.array_join(F.slice("words", F.lit(1), size), " ").alias("phrase"), label.alias("label")
-    ).distinct()
+    starts = F.explode(F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), size)).alias("start")
+    placed = words.select("words", size.alias("size"), label.alias("label"), starts)
+    return placed.select(F.array_join(F.slice("words", F.col("start"), F.col("size")), " ").alias("phrase"), "label").distinct()
 
 
 # Scans and sources
@@ -85,15 +90,15 @@ def scan_project(spark, sf_dir):
 
 @query
 def page_envelope_unnest(spark, sf_dir):
-    """Documents packed as JSON pages of 100, read back through the page schema."""
+    """Documents landed as JSON pages of 100 and read as the load reads them."""
     documents = articles(spark, sf_dir)
     number = F.floor(F.col("id").cast("long") / 100)
     pages = documents.groupBy(number.alias("page")).agg(
         F.collect_list(F.struct("id", "title", "summary", "news_site", "url")).alias("results")
     )
-    text = F.to_json(F.struct("results"))
-    parsed = pages.select(F.from_json(text, PAGE).alias("page")).select("page.*")
-    return feeds.unnest_pages(parsed).select("id", "title", "summary", "news_site", "url")
+    landing = scratch(spark)
+    pages.select("results").write.json(landing)
+    return feeds.unnest_pages(feeds.landed_pages(spark, landing)).select("id", "title", "summary", "news_site", "url")
 
 
 def order_feed(spark, sf_dir) -> DataFrame:
@@ -199,11 +204,12 @@ def flatten_cross(spark, sf_dir):
 
 @query
 def flatten_single(spark, sf_dir):
-    """One row per non-empty line of a document; a document without any keeps one row."""
+    """Lines as authors, without launches or events: a row per line, and one for a document without any."""
     lines = F.array_remove(F.split("text", "\n"), "")
-    return explode_all(
-        documents_table(spark, sf_dir).select("doc_id", lines.alias("line")), ["line"]
-    )
+    authors = F.transform(lines, lambda line: F.struct(line.alias("name"), F.lit(None).cast(SOCIALS).alias("socials")))
+    documents = documents_table(spark, sf_dir).select(F.col("doc_id").alias("id"), authors.alias("authors"))
+    flat = flatten_documents(feeds.conform(documents))
+    return flat.select(F.col("id").cast("long").alias("doc_id"), F.col("authors_name").alias("line"))
 
 
 # Merge
@@ -249,6 +255,11 @@ def arriving_orders(spark, sf_dir) -> DataFrame:
     return once.unionByName(twice).drop("status")
 
 
+def scratch(spark) -> str:
+    """A new folder that all executors share."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def _urgent(spark, sf_dir) -> DataFrame:
     return arriving_orders(spark, sf_dir).filter(F.col("title").contains("1-URGENT"))
 
@@ -286,6 +297,18 @@ def merge_history(spark, sf_dir):
     )
 
 
+@query
+def merge_stored(spark, sf_dir):
+    """The same merge through the load: three batches of orders into a new warehouse."""
+    warehouse = Warehouse(spark, scratch(spark))
+    stored = stored_orders(spark, sf_dir)
+    stamp = F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    for run, batch in enumerate((stored.filter("NOT is_active"), stored.filter("is_active"), arriving_orders(spark, sf_dir))):
+        raw = batch.select("id", "title", stamp.alias("published_at"), stamp.alias("updated_at"))
+        bronze.load_documents(warehouse, "articles", raw, f"run {run}")
+    return _dated(warehouse.table("bronze", "articles").select("id", "title", "updated_at", "is_active"))
+
+
 @query
 def union_missing_columns(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(
@@ -389,6 +412,38 @@ def topic_terms(spark, sf_dir):
     return topics.fit_topics(summaries(spark, sf_dir)).top_terms("articles")
 
 
+@query
+def lda_topics_checked(spark, sf_dir):
+    """What must hold of any topic model: a distribution per document, a topic of those there are, or none."""
+    found = lda_topics(spark, sf_dir)
+    mass = F.aggregate("topic_distribution", F.lit(0.0), lambda total, share: total + share)
+    return found.select(
+        "doc_id", F.round(mass, 6).alias("mass"), F.col("topic").isNull().alias("no_topic"),
+        F.coalesce(F.col("topic").between(0, topics.TOPICS - 1), F.lit(True)).alias("in_range"),
+    )
+
+
+@query
+def topic_terms_checked(spark, sf_dir):
+    """Topics, how many top terms each has and how many of these are in the vocabulary."""
+    documents = summaries(spark, sf_dir)
+    listed = topics.fit_topics(documents).top_terms("articles").select("topic", F.explode("top_terms").alias("term"))
+    words = terms.vocabulary(documents).select("term", F.lit(1).alias("known"))
+    joined = lookup_join(listed, cut_lineage(words), ["term"], "left")
+    return joined.groupBy("topic").agg(F.count("*").alias("n_terms"), F.count("known").alias("n_known"))
+
+
+@query
+def topic_vectors(spark, sf_dir):
+    """The model's input: the TF-IDF weight of each vocabulary term of a document."""
+    documents = summaries(spark, sf_dir)
+    model = topics.fit_topics(documents, iterations=1)
+    words = F.array(*[F.lit(word) for word in model.counts.vocabulary])
+    placed = model.features(documents, ["doc_id"]).select("doc_id", F.posexplode(vector_to_array("features")).alias("at", "weight"))
+    weighted = placed.filter("weight > 0")
+    return weighted.select("doc_id", F.get(words, F.col("at")).alias("term"), F.round("weight", 6).alias("weight"))
+
+
 @named("sentiment")
 def sentiment_score(spark, sf_dir):
     scored = sentiment.sentiment_scores(articles(spark, sf_dir), lexicon(spark, sf_dir))
@@ -420,7 +475,7 @@ def word_trends_monthly(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("title")
     )
-    shipped = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
+    shipped = spread(table(spark, sf_dir, "lineitem")).select(
         F.lit("articles").alias("source"), F.col("l_partkey").alias("id"),
         F.col("l_shipdate").alias("published_at"),
     )
@@ -429,7 +484,7 @@ def word_trends_monthly(spark, sf_dir):
 
 @query
 def word_trends_by_source(spark, sf_dir):
-    """Three feeds together: documents, conversations and benchmark texts, without a date."""
+    """Three feeds together: documents, conversations and benchmark texts, published a day after the other."""
     feeds_ = {
         "articles": documents_table(spark, sf_dir).withColumnRenamed("doc_id", "id"),
         "blogs": table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "id"),
@@ -439,7 +494,7 @@ def word_trends_by_source(spark, sf_dir):
     for name, feed in feeds_.items():
         titled = feed.select(
             F.lit(name).alias("source"), "id", F.col("text").alias("title"),
-            F.lit(None).cast("timestamp").alias("published_at"),
+            F.timestamp_seconds(F.col("id") * 86400).alias("published_at"),
         )
         together = titled if together is None else together.unionByName(titled)
     return trends.word_trends(together)
@@ -504,10 +559,36 @@ def fact_article(spark, sf_dir):
     return dimensions.fact_article(analysed, sites, dimensions.dim_topic(topic))
 
 
+@query
+def fact_article_measures(spark, sf_dir):
+    """The fact with all its measures: the analysis of the documents, and vectors as their topic distributions."""
+    documents = articles(spark, sf_dir)
+    score, tag = content.table_features(lexicon(spark, sf_dir), gazetteer(spark, sf_dir))
+    vectors = table(spark, sf_dir, "embeddings").select(
+        F.lit("articles").alias("source"), F.col("vec_id").cast("string").alias("id"),
+        F.col("embedding").cast("array<double>").alias("topic_distribution"),
+        argmax_index("embedding").cast("long").alias("topic"),
+    )
+    analysed = content.enriched(documents, score, tag).join(vectors, ["source", "id"], "left").select(ANALYSIS.fieldNames())
+    sites = dimensions.dim_news_source(trends.source_activity(documents))
+    fact = dimensions.fact_article(analysed, sites, dimensions.dim_topic(vector_topics(spark, sf_dir)))
+    return fact.withColumns({
+        "sentiment_score": F.round("sentiment_score", 6),
+        "topic_distribution": F.array_join(F.transform("topic_distribution", lambda x: F.floor(x * 1000).cast("string")), "|"),
+        **{name: F.array_join(name, "|") for name in entities.LABELS.values()},
+    })
+
+
 # Audit
 
 
 @query
 def audit_log(spark, sf_dir):
+    """What a run writes of its stages."""
     accepted, rejected = feeds.split_rejects(feeds.typed(order_feed(spark, sf_dir), "articles"))
-    return stage_counts({"accepted": accepted, "rejected": rejected}, "load articles")
+    path = scratch(spark)
+    with Audit(spark, path, "run", "load articles") as audit:
+        for stage, rows in (("accepted", accepted), ("rejected", rejected)):
+            audit.stage(stage, audit.count(rows, lambda found: found.write.format("noop").mode("overwrite").save()))
+    written = spark.read.parquet(path).filter(F.col("stage").isin("accepted", "rejected"))
+    return written.select("process_name", "stage", "status", "record_count")

@@ -13,7 +13,8 @@ TITLE_DROPS = r"[^\p{Alnum} ]"
 SEPARATOR = r"\s+"
 DOMAIN = r"(https?://[^/]+)"
 # Punctuation at either end of a word, which is dropped before the word is looked up.
-EDGE_PUNCTUATION = r"(?<!\S)\p{Punct}+|\p{Punct}+(?!\S)"
+# The second branch starts only where a run of punctuation starts, so a long run inside a word is tried once.
+EDGE_PUNCTUATION = r"(?<!\S)\p{Punct}++|(?<!\p{Punct})\p{Punct}++(?!\S)"
 
 
 def _column(value) -> Column:
@@ -46,6 +47,14 @@ def spoken_words(text) -> Column:
     return tokens(F.regexp_replace(_column(text), EDGE_PUNCTUATION, ""))
 
 
+def spoken_tokens(text) -> Column:
+    """Like ``spoken_words``, but a word of at most two signs without its punctuation keeps it: ``:)`` is a word."""
+    bare = lambda token: F.regexp_replace(token, EDGE_PUNCTUATION, "")
+    return F.transform(
+        tokens(text), lambda token: F.when(F.length(bare(token)) > 2, bare(token)).otherwise(token)
+    )
+
+
 def domain_of(url) -> Column:
     """Scheme, host and port; '' without an http(s) scheme, null for null."""
     return F.regexp_extract(_column(url), DOMAIN, 1)

@@ -1,6 +1,7 @@
 """Rows of the run audit."""
 
 from collections.abc import Sequence
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -37,6 +38,8 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 class Audit:
     """Appends the stages of one run to the audit table, failures included.
 
+    The start is written at once, so a run whose driver is killed leaves a "Running" without an end.
+
     >>> with Audit(spark, path, run_id, "load articles") as audit:
     ...     audit.stage("merge", audit.count(df, write))
     """
@@ -51,14 +54,19 @@ class Audit:
 
     def count(self, df: DataFrame, action) -> int:
         """Run ``action`` on ``df`` and return the number of rows it handled."""
-        df, observation = counted(df, f"{self.process} {len(self.rows)}")
+        df, observation = counted(df, f"{self.process} {uuid.uuid4().hex}")
         action(df)
         return observation.get["rows"]
 
+    def _store(self) -> None:
+        append(self.spark.createDataFrame(self.rows, AUDIT).coalesce(1), self.path)
+        self.rows = []
+
     def __enter__(self) -> "Audit":
         self.stage("start", status=RUNNING)
+        self._store()
         return self
 
     def __exit__(self, kind, error, trace) -> None:
         self.stage("end" if error is None else f"end: {kind.__name__}", 0, FAILED if error else COMPLETED)
-        append(self.spark.createDataFrame(self.rows, AUDIT).coalesce(1), self.path)
+        self._store()

@@ -53,8 +53,9 @@ def lookup_join(
 
     A table of checked size is broadcast, so the facts are not shuffled at all. Beyond that the rows of
     heavy keys meet their few table rows by broadcast and only the others are shuffled: the result is the
-    same, and no key, null included, can fill one task. ``table`` is read more than once, so pass
-    an expensive one through ``cut_lineage`` first.
+    same, and no key, null included, can fill one task. The facts are computed once and stored for that, and of
+    the keys only the heavy ones are. ``table`` is read more than once, so pass an expensive one through
+    ``cut_lineage`` first.
     """
     on = list(on)
 
@@ -68,9 +69,10 @@ def lookup_join(
     if fits(table, limits):
         return join(facts, table, broadcast=True)
 
-    counts = cut_lineage(facts.groupBy(on).count())
-    total = counts.agg(F.sum("count").alias("total")).first()["total"] or 0
-    heavy = counts.filter(F.col("count") * limits.heavy_keys > total).select(on)
+    facts = cut_lineage(facts)
+    total = facts.count()
+    heavy = facts.groupBy(on).count().filter(F.col("count") * limits.heavy_keys > total)
+    heavy = cut_lineage(heavy.select(on))
     hot_facts = join(facts, heavy, True, "left_semi", True)
     cold_facts = join(facts, heavy, True, "left_anti", True)
     hot_table = join(table, heavy, True, "left_semi", True)

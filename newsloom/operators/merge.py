@@ -12,8 +12,11 @@ ACTIVE = "is_active"
 
 
 def _rank(rows: DataFrame, key: Sequence[str], version: str) -> Column:
-    """The order of versions: equal ones are decided by a hash of the content, a null one comes first."""
-    content = [F.col(name) for name in rows.columns if name not in key]
+    """The order of versions: equal ones are decided by a hash of the content, a null one comes first.
+
+    When a row was loaded is not its content, so a repeated load decides alike.
+    """
+    content = [F.col(name) for name in rows.columns if name not in key and name != "ingested_at"]
     return F.struct(F.col(version), F.xxhash64(*content))
 
 

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.words import spoken_words
+from newsloom.functions.words import spoken_tokens
 from newsloom.operators.lookup import DEFAULT_LIMITS, Limits, lookup_join
 from newsloom.sources.schemas import DOCUMENT_KEY
 
@@ -50,9 +50,11 @@ def sentiment_scores(
     """``sentiment_score`` per document with at least one word of the lexicon (token, valence).
 
     The lexicon is broadcast if it is small enough, so the words become one partial sum per document
-    before anything is shuffled. Documents not returned have a score of 0.
+    before anything is shuffled. Documents not returned have a score of 0. A token that the lexicon has twice
+    counts with its mean valence.
     """
-    words = spoken_words(F.lower(text))
+    lexicon = lexicon.groupBy(F.lower("token").alias("token")).agg(F.avg("valence").alias("valence"))
+    words = spoken_tokens(F.lower(text))
     spoken = documents.select(*key, words.alias("words")).select(
         *key, F.inline(with_preceding(F.col("words")))
     )

@@ -20,6 +20,8 @@ from newsloom.sources.schemas import DOCUMENT_KEY
 TOPICS = 5
 ITERATIONS = 10
 SEED = 42
+# Share of the documents that an iteration of the online optimizer sees: Spark's default, stated.
+SUBSAMPLING = 0.05
 
 
 @dataclass
@@ -28,6 +30,10 @@ class TopicModel:
     idf: IDFModel | None
     lda: LDAModel | None
 
+    def features(self, documents: DataFrame, key: Sequence[str] = DOCUMENT_KEY) -> DataFrame:
+        """``key`` and the TF-IDF vector of each document, the input of the model, row by row."""
+        return self.idf.transform(self.counts.transform(_tokens(documents, key)))
+
     def top_terms(self, source: str, size: int = 10) -> DataFrame:
         """One row per topic: source, topic and its ``size`` heaviest terms."""
         words = F.array(*[F.lit(word) for word in self.counts.vocabulary])
@@ -46,7 +52,7 @@ def _tokens(documents: DataFrame, key: Sequence[str] = ()) -> DataFrame:
 
 def fit_topics(
     documents: DataFrame, stop_words: Iterable[str] = SUMMARY_STOP_WORDS, topics: int = TOPICS,
-    iterations: int = ITERATIONS, size: int = VOCABULARY_SIZE, seed: int = SEED,
+    iterations: int = ITERATIONS, size: int = VOCABULARY_SIZE, seed: int = SEED, subsampling: float = SUBSAMPLING,
 ) -> TopicModel:
     """Fit on the summaries of documents.
 
@@ -62,7 +68,7 @@ def fit_topics(
     try:
         idf = IDF(inputCol="counts", outputCol="features").fit(vectors)
         lda = LDA(
-            k=topics, maxIter=iterations, seed=seed, featuresCol="features",
+            k=topics, maxIter=iterations, seed=seed, subsamplingRate=subsampling, featuresCol="features",
             topicDistributionCol="distribution",
         ).fit(idf.transform(vectors))
     finally:
@@ -83,7 +89,6 @@ def assign_topics(
             F.array().cast("array<double>").alias("topic_distribution"),
             F.lit(None).cast("long").alias("topic"),
         )
-    vectors = model.idf.transform(model.counts.transform(_tokens(documents, key)))
-    return model.lda.transform(vectors).select(
+    return model.lda.transform(model.features(documents, key)).select(
         *key, vector_to_array("distribution").alias("topic_distribution")
     ).withColumn("topic", dominant_topic("topic_distribution"))

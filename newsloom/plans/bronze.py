@@ -1,5 +1,7 @@
 """Landed pages of one feed into the bronze table of document versions."""
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from newsloom.operators.audit import Audit
 from newsloom.operators.flatten import flatten_documents
 from newsloom.operators.lookup import DEFAULT_LIMITS, Limits, lookup_join
 from newsloom.plans.warehouse import Warehouse
-from newsloom.session import cut_lineage
+from newsloom.session import cut_lineage, dropping
 from newsloom.sources import feeds, tables
 from newsloom.sources.schemas import BRONZE, BRONZE_PARTITIONS, DOCUMENT_KEY, MONTH
 
@@ -22,19 +24,20 @@ def with_month(documents: DataFrame) -> DataFrame:
 
 def active_documents(warehouse: Warehouse, source: str) -> DataFrame:
     """The current version of each document of a feed."""
-    return warehouse.table("bronze").filter((F.col("source") == source) & F.col("is_active"))
+    return warehouse.table("bronze", source).filter("is_active")
 
 
 def flat_documents(warehouse: Warehouse, source: str) -> DataFrame:
     """All versions of a feed, one row per author, launch and event combination."""
-    stored = warehouse.table("bronze").filter(F.col("source") == source)
-    return flatten_documents(stored.drop(MONTH))
+    return flatten_documents(warehouse.table("bronze", source).drop(MONTH))
 
 
-def since_last_load(stage: DataFrame, documents: DataFrame) -> DataFrame:
-    """Documents strictly newer than everything stored; those without a version are left to the merge."""
-    mark = feeds.high_water_mark(stage).first()["high_water_mark"]
-    return documents.filter(F.col("updated_at").isNull() | (F.col("updated_at") > F.lit(mark)))
+def retire(warehouse: Warehouse, source: str, versions: DataFrame, limits: Limits) -> None:
+    """Note versions as no longer active, those not noted yet."""
+    named = [*DOCUMENT_KEY, "updated_at"]
+    noted = warehouse.table("retired").filter(F.col("source") == source)
+    fresh = lookup_join(versions.select(named).distinct(), noted, named, "left_anti", True, limits)
+    tables.append(tables.few_files(cut_lineage(fresh), "source"), warehouse.path("retired"), ["source"])
 
 
 def merge_batch(
@@ -43,61 +46,67 @@ def merge_batch(
 ) -> int:
     """Merge typed documents of a feed into bronze and return how many versions were added.
 
-    Only months with a superseded version are rewritten; new versions of other months are appended. The
-    rewritten months are stored beside the table and copied in when complete, so no job overwrites what it
-    reads. Rewriting comes first: if the load dies before the append, the next one still finds the rest newer.
+    Nothing stored is rewritten: new versions are appended, and versions that are no longer active are noted by
+    key and version in a narrow table that readers join, so a batch writes in proportion to itself. What is to
+    be noted is read off from the stored versions of the batch's keys, so a load that dies at any write and is
+    repeated ends like an undisturbed one, whatever order pages come in.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy is one of {POLICIES}, not {policy!r}")
     key = list(DOCUMENT_KEY)
     path = warehouse.path("bronze")
-    stage = warehouse.table("bronze").filter(F.col("source") == source)
     incoming = with_month(documents).select(BRONZE.fieldNames())
+    arrived = cut_lineage(incoming.select(key).distinct())
+
+    def stored() -> DataFrame:
+        return warehouse.stored("bronze").filter(F.col("source") == source)
+
+    def of_batch() -> DataFrame:
+        return lookup_join(stored().select(*key, "updated_at"), arrived, key, "left_semi", limits=limits)
+
     if policy == "history":
-        added = merge.newer_versions(stage, incoming, key, limits=limits)
-        superseding = added
-    else:
-        added = cut_lineage(merge.unknown_keys(stage, incoming, key, limits=limits))
-        superseding = incoming
-    hit = lookup_join(
-        stage.filter("is_active").select(*key, MONTH), superseding.select(key).distinct(), key, "left_semi",
-        limits=limits,
-    )
-    # One row per month, so this stays small however many documents there are.
-    months = [row[MONTH] for row in hit.select(MONTH).distinct().collect()]
-    if months:
-        rewritten = F.col(MONTH).isin(months)
-        merged = merge.mark_superseded(stage.filter(rewritten), superseding, key, limits)
-        complete = cut_lineage(merged.unionByName(added.filter(rewritten)))
-        tables.overwrite_partitions(tables.few_files(complete, MONTH), path, BRONZE_PARTITIONS)
-        tables.append(tables.few_files(added.filter(~rewritten), MONTH), path, BRONZE_PARTITIONS)
+        added = merge.newer_versions(stored(), incoming, key, limits=limits)
+        tables.append(tables.few_files(added, MONTH), path, BRONZE_PARTITIONS)
+        versions = cut_lineage(of_batch())
+        newest = versions.groupBy(key).agg(F.max("updated_at").alias("newest"))
+        compared = lookup_join(versions, cut_lineage(newest), key, "inner", limits=limits)
+        retire(warehouse, source, compared.filter(~F.col("updated_at").eqNullSafe(F.col("newest"))), limits)
     else:
+        added = cut_lineage(merge.unknown_keys(stored(), incoming, key, limits=limits))
+        retire(warehouse, source, of_batch(), limits)
         tables.append(tables.few_files(added, MONTH), path, BRONZE_PARTITIONS)
     return added.count()
 
 
 def load_documents(
     warehouse: Warehouse, source: str, raw: DataFrame, run_id: str, policy: str = "history",
-    incremental: bool = True, limits: Limits = DEFAULT_LIMITS,
+    limits: Limits = DEFAULT_LIMITS, since: datetime | None = None, broken: DataFrame | None = None,
 ) -> None:
-    """Raw documents of a feed: type them, set rejects aside, merge the rest, audit every stage."""
-    with Audit(warehouse.spark, warehouse.path("audit"), run_id, f"load {source}") as audit:
+    """Raw documents of a feed: type them, set rejects aside, merge the rest, audit every stage.
+
+    The merge decides per key what is new, so pages may come late, twice or in any order. ``since`` leaves out
+    documents that are not newer than it, for those who ask for a part of the history only. ``broken`` are pages
+    that could not be read.
+    """
+    with Audit(warehouse.spark, warehouse.path("audit"), run_id, f"load {source}") as audit, dropping(warehouse.spark):
         typed = cut_lineage(feeds.typed(feeds.conform(raw), source))
         accepted, rejected = feeds.split_rejects(typed)
+        if broken is not None:
+            rejected = rejected.unionByName(feeds.rejected_pages(broken, source), allowMissingColumns=True)
         rejected = rejected.withColumn("run_id", F.lit(run_id))
         audit.stage("reject", audit.count(
             rejected, lambda rows: tables.append(rows, warehouse.path("rejects"), ["source"])
         ))
-        if incremental:
-            stage = warehouse.table("bronze").filter(F.col("source") == source)
-            accepted = since_last_load(stage, accepted)
+        if since is not None:
+            accepted = feeds.newer_than(accepted, since)
         audit.stage("merge", merge_batch(warehouse, source, accepted, policy, limits))
 
 
 def load_feed(
     warehouse: Warehouse, source: str, landing: str, run_id: str, policy: str = "history",
-    incremental: bool = True, limits: Limits = DEFAULT_LIMITS,
+    limits: Limits = DEFAULT_LIMITS, since: datetime | None = None, multi_line: bool = False,
 ) -> None:
-    """Load the page files under ``landing``."""
-    raw = feeds.read_pages(warehouse.spark, landing)
-    load_documents(warehouse, source, raw, run_id, policy, incremental, limits)
+    """Load the page files under ``landing``; pages that are no envelopes are set aside and counted."""
+    pages = feeds.landed_pages(warehouse.spark, landing, multi_line)
+    documents, broken = feeds.unnest_pages(pages), feeds.broken_pages(pages)
+    load_documents(warehouse, source, documents, run_id, policy, limits, since, broken)

@@ -9,6 +9,7 @@ Pages are expected under L/articles, L/blogs and L/reports.
 
 import argparse
 import uuid
+from datetime import datetime
 
 from newsloom.operators.content import Feature, table_features
 from newsloom.plans.bronze import POLICIES, load_feed
@@ -23,13 +24,13 @@ STEPS = ("load", "analysis", "trends", "gold")
 
 def refresh(
     warehouse: Warehouse, landing: str, score: Feature, tag: Feature, sources=SOURCES, steps=STEPS,
-    policy: str = "history", run_id: str | None = None,
+    policy: str = "history", run_id: str | None = None, since: datetime | None = None, multi_line: bool = False,
 ) -> str:
     """Run the steps for each feed, then the star schema; returns the run's id in the audit table."""
     run_id = run_id or uuid.uuid4().hex
     for source in sources:
         if "load" in steps:
-            load_feed(warehouse, source, f"{landing.rstrip('/')}/{source}", run_id, policy)
+            load_feed(warehouse, source, f"{landing.rstrip('/')}/{source}", run_id, policy, since=since, multi_line=multi_line)
         if "analysis" in steps:
             refresh_analysis(warehouse, source, run_id, score, tag)
         if "trends" in steps:
@@ -48,6 +49,8 @@ def main(arguments=None) -> None:
     parser.add_argument("--source", nargs="*", default=SOURCES, choices=SOURCES)
     parser.add_argument("--step", nargs="*", default=STEPS, choices=STEPS)
     parser.add_argument("--policy", default="history", choices=POLICIES)
+    parser.add_argument("--since", type=datetime.fromisoformat, help="leave out documents not newer than this")
+    parser.add_argument("--multi-line", action="store_true", help="a page is a file and not a line")
     options = parser.parse_args(arguments)
     spark = build_session("newsloom refresh")
     score, tag = table_features(
@@ -55,7 +58,7 @@ def main(arguments=None) -> None:
     )
     refresh(
         Warehouse(spark, options.warehouse), options.landing, score, tag, options.source,
-        options.step, options.policy,
+        options.step, options.policy, since=options.since, multi_line=options.multi_line,
     )
 
 

@@ -2,29 +2,40 @@
 
 from collections.abc import Iterable
 
+from pyspark.sql import DataFrame
+
 from newsloom.functions.stopwords import SUMMARY_STOP_WORDS, TITLE_STOP_WORDS
 from newsloom.operators.audit import Audit
 from newsloom.operators.content import Feature, content_analysis
 from newsloom.operators.trends import source_activity, word_trends
 from newsloom.plans.bronze import active_documents
 from newsloom.plans.warehouse import Warehouse
+from newsloom.session import dropping
 from newsloom.sources.schemas import ACTIVITY, TRENDS
-from newsloom.sources.tables import overwrite_partitions
+from newsloom.sources.tables import clear_partition, overwrite_partitions
 
 
 def refresh_trends(
     warehouse: Warehouse, source: str, run_id: str, stop_words: Iterable[str] = TITLE_STOP_WORDS
 ) -> None:
     """Rebuild the feed's part of ``trends`` and ``sources``; other feeds stay as they are."""
-    documents = active_documents(warehouse, source)
-    frames = {
-        "trends": word_trends(documents, stop_words).select(TRENDS.fieldNames()),
-        "sources": source_activity(documents).select(ACTIVITY.fieldNames()),
-    }
-    with Audit(warehouse.spark, warehouse.path("audit"), run_id, f"trends {source}") as audit:
+    with Audit(warehouse.spark, warehouse.path("audit"), run_id, f"trends {source}") as audit, dropping(warehouse.spark):
+        documents = active_documents(warehouse, source)
+        frames = {
+            "trends": word_trends(documents, stop_words).select(TRENDS.fieldNames()),
+            "sources": source_activity(documents).select(ACTIVITY.fieldNames()),
+        }
         for name, frame in frames.items():
-            path = warehouse.path(name)
-            audit.stage(name, audit.count(frame, lambda rows, path=path: overwrite_partitions(rows, path)))
+            audit.stage(name, _replace(warehouse, audit, name, source, frame))
+
+
+def _replace(warehouse: Warehouse, audit: Audit, name: str, source: str, frame: DataFrame) -> int:
+    """Replace the feed's partition of a table; one that has no rows any more is cleared. Returns the rows."""
+    path = warehouse.path(name)
+    rows = audit.count(frame, lambda found: overwrite_partitions(found, path))
+    if not rows:
+        clear_partition(warehouse.spark, path, "source", source)
+    return rows
 
 
 def refresh_analysis(
@@ -35,11 +46,12 @@ def refresh_analysis(
 
     ``score`` and ``tag`` are usually ``table_features`` of a lexicon and a gazetteer.
     """
-    with Audit(warehouse.spark, warehouse.path("audit"), run_id, f"analysis {source}") as audit:
+    with Audit(warehouse.spark, warehouse.path("audit"), run_id, f"analysis {source}") as audit, dropping(warehouse.spark):
         analysis, top_terms = content_analysis(
             active_documents(warehouse, source), source, score, tag, stop_words
         )
-        path = warehouse.path("analysis")
-        audit.stage("analysis", audit.count(analysis, lambda rows: overwrite_partitions(rows, path)))
+        audit.stage("analysis", _replace(warehouse, audit, "analysis", source, analysis))
         if top_terms is not None:
             overwrite_partitions(top_terms, warehouse.path("topic_terms"))
+        else:
+            clear_partition(warehouse.spark, warehouse.path("topic_terms"), "source", source)

@@ -3,12 +3,15 @@
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from newsloom.operators.lookup import lookup_join
 from newsloom.sources import schemas
 from newsloom.sources.tables import scan_or_empty
 
 SCHEMAS = {
     "bronze": schemas.BRONZE,
+    "retired": schemas.RETIRED,
     "analysis": schemas.ANALYSIS,
     "trends": schemas.TRENDS,
     "sources": schemas.ACTIVITY,
@@ -27,6 +30,18 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def table(self, name: str) -> DataFrame:
-        """A table in its canonical schema; a table never written has no rows."""
+    def stored(self, name: str) -> DataFrame:
+        """A table in its canonical schema as it is stored; a table never written has no rows."""
         return scan_or_empty(self.spark, self.path(name), SCHEMAS[name])
+
+    def table(self, name: str, source: str | None = None) -> DataFrame:
+        """A table as readers see it, of one feed if asked for: bronze versions that were retired are not active."""
+        rows = self.stored(name)
+        if name != "bronze":
+            return rows if source is None else rows.filter(F.col("source") == source)
+        retired = self.stored("retired").distinct().withColumn("__retired", F.lit(True))
+        if source is not None:
+            rows, retired = (r.filter(F.col("source") == source) for r in (rows, retired))
+        marked = lookup_join(rows, retired, ["source", "id", "updated_at"], "left", null_safe=True)
+        active = F.col("is_active") & F.col("__retired").isNull()
+        return marked.withColumn("is_active", active).select(rows.columns)

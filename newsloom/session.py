@@ -1,7 +1,9 @@
 """Session defaults and the shared folder that cuts lineage."""
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="newsloom-checkpoint-")
     context.setCheckpointDir(named)
@@ -48,10 +50,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     What follows reads only the columns it needs, and a lost executor costs no recomputation.
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    for step in _steps:
+        step.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# The paths that the steps now running have stored.
+_steps: list[list[str]] = []
+
+
+@contextmanager
+def dropping(spark: SparkSession):
+    """Delete what ``cut_lineage`` stores within the block when it ends.
+
+    For steps that write their results elsewhere; frames that read those intermediate tables end with the block.
+    """
+    stored: list[str] = []
+    _steps.append(stored)
+    try:
+        yield
+    finally:
+        _steps.remove(stored)
+        for path in stored:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def frozen(df: DataFrame) -> DataFrame:
     """``df`` stored in the shared folder with its partitions and the order of their rows."""
     shared_folder(df.sparkSession)

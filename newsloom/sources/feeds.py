@@ -2,11 +2,13 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsloom.functions.instants import history_start, parse_instant
 from newsloom.sources.schemas import INSTANTS, PAGE, RAW_DOCUMENT
 
 REASON = "reject_reason"
+BROKEN = "_broken"
 
 
 def unnest_pages(pages: DataFrame) -> DataFrame:
@@ -23,6 +25,35 @@ def read_pages(spark: SparkSession, landing: str, multi_line: bool = False) -> D
     return unnest_pages(reader.json(landing))
 
 
+def landed_pages(spark: SparkSession, landing: str, multi_line: bool = False) -> DataFrame:
+    """All page files under ``landing`` as (results, broken): what is no envelope has its text in ``broken``.
+
+    One page per line, or one per file with ``multi_line``. A page is broken if it is not JSON, or has no results,
+    as the body of an error has.
+    """
+    schema = T.StructType([*PAGE.fields, T.StructField(BROKEN, T.StringType())])
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN)
+    return marked_pages(reader.option("multiLine", multi_line).json(landing))
+
+
+def marked_pages(pages: DataFrame) -> DataFrame:
+    """Envelopes with their corrupt-record column, those without results marked as broken too."""
+    text = F.coalesce(BROKEN, F.when(F.col("results").isNull(), F.lit("no results")))
+    return pages.select(F.when(text.isNull(), F.col("results")).alias("results"), text.alias(BROKEN))
+
+
+def broken_pages(pages: DataFrame) -> DataFrame:
+    return pages.filter(F.col(BROKEN).isNotNull()).select(BROKEN)
+
+
+def rejected_pages(broken: DataFrame, source: str) -> DataFrame:
+    """Broken pages as rows for the rejects, the first 1000 signs of their text as title."""
+    return broken.select(
+        F.lit(source).alias("source"), F.substring(BROKEN, 1, 1000).alias("title"),
+        F.lit("broken page").alias(REASON),
+    )
+
+
 def conform(documents: DataFrame) -> DataFrame:
     """Any feed's documents with exactly the canonical raw columns, missing ones null, the id as text."""
     have = set(documents.columns)

@@ -52,6 +52,11 @@ DOCUMENT = T.StructType(
 MONTH = "published_month"
 BRONZE_PARTITIONS = ("source", MONTH)
 BRONZE = T.StructType(DOCUMENT.fields + [T.StructField(MONTH, T.StringType())])
+RETIRED = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("updated_at", T.TimestampType()),
+    T.StructField("source", T.StringType()),
+])
 
 # The names of the nested fields in the flat table.
 FLAT_FIELDS = {

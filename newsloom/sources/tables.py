@@ -28,10 +28,13 @@ def scan(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFra
     return table.select(*columns) if columns else table
 
 
-def spread(table: DataFrame, *key: str) -> DataFrame:
-    """A scanned table over all cores: one of few files is partitioned by ``key``, others are left as they are."""
+def spread(table: DataFrame) -> DataFrame:
+    """A scanned table over all cores: one of fewer splits than cores is dealt out row by row, so no key is hot.
+
+    A table with as many splits is left as it is, which is the case for any that takes long.
+    """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, *key)
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
 
 
 def scan_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -47,6 +50,31 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] = ("source"
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def clear_partitions(spark: SparkSession, path: str, by: str, keep: Sequence[str]) -> None:
+    """Delete the partitions of column ``by`` whose value is not in ``keep``.
+
+    Overwriting partitions cannot clear one that has no rows any more. Values are names of feeds, which stand
+    in folder names as they are.
+    """
+    if not exists(spark, path):
+        return
+    place, files = _path(spark, path)
+    kept = {f"{by}={value}" for value in keep}
+    for status in files.listStatus(place):
+        name = status.getPath().getName()
+        if name.startswith(f"{by}=") and name not in kept:
+            files.delete(status.getPath(), True)
+    spark.catalog.refreshByPath(path)
+
+
+def clear_partition(spark: SparkSession, path: str, by: str, value: str) -> None:
+    """Delete one partition, if it is there."""
+    place, files = _path(spark, f"{path}/{by}={value}")
+    if files.exists(place):
+        files.delete(place, True)
+        spark.catalog.refreshByPath(path)
+
+
 def few_files(df: DataFrame, *by: str) -> DataFrame:
     """Bring the rows of a partition together for writing; a hot partition is split into even parts."""
     return df.hint("rebalance", *[F.col(name) for name in by])

@@ -1,38 +1,45 @@
 """Page files picked up as they land, merged batch by batch into bronze."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from newsloom.plans.bronze import load_documents
 from newsloom.plans.warehouse import Warehouse
-from newsloom.sources.feeds import unnest_pages
+from newsloom.sources import feeds
 from newsloom.sources.schemas import PAGE
 
 
 def stream_feed(
     warehouse: Warehouse, source: str, landing: str, checkpoint: str, policy: str = "history",
-    files_per_batch: int = 10_000,
+    files_per_batch: int = 10_000, multi_line: bool = False,
 ) -> StreamingQuery:
     """Merge the page files under ``landing`` that no earlier run has seen, then stop.
 
     Spark remembers the files it has read in ``checkpoint``, so old pages are not read again. A batch that
-    failed is repeated; with the history policy that changes nothing already stored.
+    failed is repeated, which changes nothing already stored; only the history policy is taken, as that holds for no other.
     """
 
-    def load(raw: DataFrame, batch: int) -> None:
+    if policy != "history":
+        raise ValueError("a repeated batch of another policy would retire its own documents")
+
+    def load(pages: DataFrame, batch: int) -> None:
+        pages = feeds.marked_pages(pages)
         load_documents(
-            Warehouse(raw.sparkSession, warehouse.root), source, raw, f"{source} batch {batch}", policy,
-            incremental=False,
+            Warehouse(pages.sparkSession, warehouse.root), source, feeds.unnest_pages(pages),
+            f"{source} batch {batch}", policy, broken=feeds.broken_pages(pages),
         )
 
     pages = (
-        warehouse.spark.readStream.schema(PAGE)
-        .option("mode", "FAILFAST")
+        warehouse.spark.readStream.schema(T.StructType([*PAGE.fields, T.StructField(feeds.BROKEN, T.StringType())]))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", feeds.BROKEN)
+        .option("multiLine", multi_line)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(landing)
     )
     return (
-        unnest_pages(pages).writeStream.foreachBatch(load)
+        pages.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -52,7 +52,8 @@ def test_conform_fills_missing_fields(spark):
 
 @pytest.mark.parametrize("text, micros", [
     ("2025-03-10T12:00:00Z", 0), ("2025-03-10T12:00:00.5Z", 500_000),
-    ("2025-03-10T12:00:00.123456Z", 123_456), ("10/03/2025", None), (None, None),
+    ("2025-03-10T12:00:00.123456Z", 123_456), ("2025-03-10T12:00:00+00:00", 0), ("2025-03-10T14:00:00.1234567+02:00", 123_456),
+    ("2025-03-10T12:00:00.123456789Z", 123_456), ("2025-03-10T12:00:00", None), ("2025-02-30T12:00:00+00:00", None), ("10/03/2025", None), (None, None),
 ])
 def test_instants(spark, text, micros):
     start = 1741608000 * 1_000_000

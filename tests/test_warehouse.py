@@ -1,3 +1,6 @@
+import json
+from datetime import datetime, timezone
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -7,6 +10,7 @@ from newsloom.operators.content import table_features
 from newsloom.plans.bronze import active_documents, flat_documents, load_feed
 from newsloom.plans.refresh import main, refresh
 from newsloom.plans.warehouse import Warehouse
+from newsloom.session import cut_lineage, dropping
 from newsloom.sources import tables
 from newsloom.streaming.landing import stream_feed
 
@@ -82,11 +86,12 @@ def test_rejects_and_failures_are_recorded(spark, tmp_path):
     assert rows(rejects.select("reject_reason", "run_id", "source")) == [
         ("malformed updated_at", "one", "articles"), ("null key", "one", "articles"),
     ]
-    (tmp_path / "in" / "bad.json").write_text("{ not json\n")
-    with pytest.raises(Exception):
-        load_feed(warehouse, "articles", folder, "two")
+    with pytest.raises(ValueError):
+        load_feed(warehouse, "articles", folder, "two", policy="neither")
     audit = warehouse.table("audit")
-    assert rows(audit.filter("run_id = 'two'").select("status")) == [("Failed",), ("Running",)]
+    assert rows(audit.filter("run_id = 'two'").select("stage", "status")) == [
+        ("end: ValueError", "Failed"), ("reject", "Completed"), ("start", "Running"),
+    ]
     assert dict(rows(audit.filter("run_id = 'one'").select("stage", "record_count"))) == {
         "start": 0, "reject": 2, "merge": 1, "end": 0,
     }
@@ -102,18 +107,19 @@ def test_flag_only_load(spark, tmp_path):
         load_feed(warehouse, "blogs", str(tmp_path / "b"), "three", "neither")
 
 
-def test_only_changed_months_are_rewritten(spark, tmp_path):
+def test_nothing_stored_is_rewritten(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
     load_feed(warehouse, "articles", land(tmp_path / "a", [
         document(1), document(2, published_at="2024-01-01T00:00:00Z"),
     ]), "one")
-    old = set((tmp_path / "warehouse" / "bronze" / "source=articles" / "published_month=2024-01").iterdir())
+    old = set((tmp_path / "warehouse" / "bronze").glob("source=*/*/*.parquet"))
     moved = document(1, updated_at="2025-06-01T00:00:00Z", published_at="2025-04-01T00:00:00Z")
     load_feed(warehouse, "articles", land(tmp_path / "b", [moved]), "two")
     assert rows(warehouse.table("bronze").select("id", "published_month", "is_active")) == [
         ("1", "2025-03", False), ("1", "2025-04", True), ("2", "2024-01", True),
     ]
-    assert set((tmp_path / "warehouse" / "bronze" / "source=articles" / "published_month=2024-01").iterdir()) == old
+    now = set((tmp_path / "warehouse" / "bronze").glob("source=*/*/*.parquet"))
+    assert old < now and len(now - old) == 1
 
 
 def test_flat_documents(spark, tmp_path):
@@ -187,3 +193,85 @@ def test_command_line(spark, tmp_path):
         "--gazetteer", str(tmp_path / "g"), "--source", "reports", "--step", "load", "trends",
     ])
     assert Warehouse(spark, str(tmp_path / "w")).table("trends").filter("word = 'big'").agg(F.sum("count")).first()[0] == 12
+
+
+def test_broken_pages_are_set_aside(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    folder = land(tmp_path / "in", [document(1)])
+    (tmp_path / "in" / "bad.json").write_text("{ not json\n")
+    (tmp_path / "in" / "error.json").write_text('{"detail": "throttled"}\n')
+    load_feed(warehouse, "articles", folder, "one")
+    rejects = spark.read.parquet(warehouse.path("rejects"))
+    assert rows(rejects.select("reject_reason", "title")) == [("broken page", "no results"), ("broken page", "{ not json")]
+    assert dict(rows(warehouse.table("audit").select("stage", "record_count"))) == {"start": 0, "reject": 2, "merge": 1, "end": 0}
+    pretty = tmp_path / "pretty"
+    pretty.mkdir()
+    (pretty / "p.json").write_text(json.dumps({"next": None, "results": [document(7)]}, indent=2))
+    load_feed(warehouse, "articles", str(pretty), "two", multi_line=True)
+    assert rows(warehouse.table("bronze").select("id")) == [("1",), ("7",)]
+
+
+def test_late_pages_and_since(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    load_feed(warehouse, "articles", land(tmp_path / "a", [document(1, updated_at="2025-06-01T00:00:00Z")]), "one")
+    late = land(tmp_path / "b", [document(9, updated_at="2025-01-01T00:00:00Z"), document(1, updated_at="2025-02-01T00:00:00Z")])
+    load_feed(warehouse, "articles", late, "two", since=datetime(2025, 1, 15, tzinfo=timezone.utc))
+    assert rows(warehouse.table("bronze").select("id", "is_active")) == [("1", True)]
+    load_feed(warehouse, "articles", late, "three")
+    assert rows(warehouse.table("bronze").select("id", "is_active")) == [("1", True), ("9", True)]
+
+
+@pytest.mark.parametrize("policy", ["history", "flag_only"])
+def test_a_load_that_dies_at_any_write_can_be_repeated(spark, tmp_path, monkeypatch, policy):
+    first = land(tmp_path / "a", [document(1), document(2)])
+    second = land(tmp_path / "b", [
+        document(1, updated_at="2025-06-01T00:00:00Z"), document(3, updated_at="2024-01-01T00:00:00Z"),
+    ])
+
+    def loaded(name, fail_at):
+        warehouse = Warehouse(spark, str(tmp_path / name))
+        load_feed(warehouse, "articles", first, "one", policy)
+        writes, store = [], tables.append
+
+        def dies(df, path, by=()):
+            writes.append(path)
+            if len(writes) == fail_at:
+                raise RuntimeError("killed")
+            store(df, path, by)
+
+        monkeypatch.setattr(tables, "append", dies)
+        if fail_at:
+            with pytest.raises(RuntimeError):
+                load_feed(warehouse, "articles", second, "two", policy)
+        monkeypatch.setattr(tables, "append", store)
+        load_feed(warehouse, "articles", second, "two", policy)
+        return rows(warehouse.table("bronze").select("id", "updated_at", "is_active"))
+
+    undisturbed = loaded("whole", 0)
+    for fail_at in (1, 2, 3):  # rejects, then the two writes of the merge
+        assert loaded(f"dies{fail_at}", fail_at) == undisturbed
+
+
+def test_a_feed_without_documents_leaves_no_rows(spark, tmp_path, tools):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    landing = tmp_path / "landing"
+    land(landing / "articles", feed(0))
+    land(landing / "blogs", feed(0))
+    refresh(warehouse, str(landing), *tools, sources=["articles", "blogs"], run_id="one", policy="flag_only")
+    refresh(warehouse, str(landing), *tools, sources=["blogs"], run_id="two", policy="flag_only")
+    for name in ("analysis", "trends", "sources", "topic_terms"):
+        assert rows(warehouse.table(name).select("source").distinct()) == [("articles",)]
+    assert rows(spark.read.parquet(warehouse.path("fact_article")).select("source").distinct()) == [("articles",)]
+
+
+def test_the_stream_takes_no_other_policy(spark, tmp_path):
+    with pytest.raises(ValueError):
+        stream_feed(Warehouse(spark, str(tmp_path)), "articles", str(tmp_path), str(tmp_path / "c"), "flag_only")
+
+
+def test_intermediate_tables_are_deleted(spark, tmp_path):
+    with dropping(spark):
+        kept = cut_lineage(spark.range(3))
+        [path] = {f.rpartition("/")[0] for f in kept.inputFiles()}
+        assert kept.count() == 3
+    assert not tables.exists(spark, path)
