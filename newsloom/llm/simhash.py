@@ -33,6 +33,7 @@ SHINGLE = 3
 RADIUS = 3
 SEED = 42
 SHARD_ROWS = 8192
+HEAVY = 1000  # a fingerprint with more than a HEAVY-th of all rows is heavy
 AT_ONCE = 1 << 16  # shingles whose bits are unpacked at once
 
 
@@ -185,7 +186,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``marked``, a stored table with ``fingerprint``, and the ``component_id`` of each row."""
     columns = [c for c in marked.columns if c.lower() != "component_id"]
-    distinct = marked.groupBy("fingerprint").agg(F.min(F.col(f"`{id_column}`")).alias("first"))
+    distinct = marked.groupBy("fingerprint").agg(F.min(F.col(f"`{id_column}`")).alias("first"), F.count("*").alias("rows"))
     distinct = cut_lineage(distinct)
     groups = connected(links(distinct, radius, shard_rows)).toDF("fingerprint", "component")
     placed = groups.join(distinct, "fingerprint")
@@ -193,11 +194,16 @@ def near_duplicates(
     named = placed.join(least, "component").select("fingerprint", "least")
     final = distinct.join(named, "fingerprint", "left")
     linked = F.col("least").isNotNull()
-    final = final.select(
-        F.col("fingerprint").alias("__of"), F.when(linked, F.col("least")).otherwise(F.col("first")).alias("__component")
-    )
-    joined = marked.select(*[F.col(f"`{c}`") for c in columns]).join(final, F.col("fingerprint") == F.col("__of"))
-    return joined.drop("__of").withColumnRenamed("__component", "component_id")
+    final = cut_lineage(final.select(
+        F.col("fingerprint").alias("__of"), F.when(linked, F.col("least")).otherwise(F.col("first")).alias("__component"),
+        F.col("rows").alias("__rows"),
+    ))
+    # A fingerprint of many rows meets its one row by broadcast (there are fewer than HEAVY such), the others by shuffle.
+    heavy = F.broadcast(final.filter(F.col("__rows") * HEAVY > marked.count()))
+    rows, same = marked.select(*[F.col(f"`{c}`") for c in columns]), F.col("fingerprint") == F.col("__of")
+    hot = rows.join(heavy, same)
+    cold = rows.join(heavy, same, "left_anti").join(final, same)
+    return hot.unionByName(cold).drop("__of", "__rows").withColumnRenamed("__component", "component_id")
 
 
 def as_hex(fingerprint: Column) -> Column:

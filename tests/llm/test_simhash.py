@@ -81,6 +81,13 @@ def test_components_against_all_pairs(spark, shard_rows):
     assert sorted(((r[0], r[1] % (1 << 64), r[2]) for r in found), key=repr) == plain_components(rows)
 
 
+def test_a_hot_fingerprint(spark):
+    rows = [(i, 5 if i % 3 else i << 40) for i in range(3000)]
+    found = near_duplicates(spark.createDataFrame([(i, f, "x") for i, f in rows], "doc_id long, fingerprint long, rows string"))
+    assert {r[0]: r[3] for r in found.collect() if r[1] == 5} == {i: 0 for i in range(3000) if i % 3}
+    assert found.count() == 3000 and found.columns == ["doc_id", "fingerprint", "rows", "component_id"]
+
+
 def test_links_are_fewer_than_pairs(spark):
     near = [sum(1 << b for b in range(64) if (n >> b) & 1) for n in range(512)]
     frame = spark.createDataFrame([(n,) for n in near], "fingerprint long")
