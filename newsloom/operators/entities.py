@@ -10,6 +10,8 @@ from newsloom.functions.words import spoken_words
 from newsloom.operators.lookup import DEFAULT_LIMITS, Limits, lookup_join
 from newsloom.sources.schemas import DOCUMENT_KEY
 
+# Words of a phrase that are looked up together; a longer phrase is found by its first ones and then compared whole.
+SPAN = 8
 # The entity labels and the column each one fills.
 LABELS = {"PERSON": "persons", "ORG": "organizations", "GPE": "locations"}
 
@@ -35,26 +37,33 @@ def phrases_from(count: int) -> Column:
 
 def entities(
     documents: DataFrame, gazetteer: DataFrame, text: str = "summary",
-    key: Sequence[str] = DOCUMENT_KEY, limits: Limits = DEFAULT_LIMITS,
+    key: Sequence[str] = DOCUMENT_KEY, limits: Limits = DEFAULT_LIMITS, span: int = SPAN,
 ) -> DataFrame:
     """Sorted distinct ``persons``, ``organizations`` and ``locations`` per document that has any.
 
     ``gazetteer`` holds (phrase, label); phrases match words in their own case, punctuation at word ends
-    aside, up to the length of the longest phrase. Words that start no phrase are dropped first, so only few
-    phrases are built and looked up.
+    aside. Words that start no phrase are dropped first, so only few phrases are built and looked up. A word
+    meets ``span`` followers at most, however long a phrase of the gazetteer is.
     """
     named = gazetteer.select("phrase", "label", spoken_words("phrase").alias("words"))
     longest = named.agg(F.max(F.size("words")).alias("longest")).first()["longest"] or 1
+    together = min(longest, span)
     heads = named.select(F.get("words", F.lit(0)).alias("word0")).distinct()
-    known = named.groupBy(F.array_join("words", " ").alias("spoken")).agg(
-        F.collect_set(F.struct("phrase", "label")).alias("entries")
+    known = named.groupBy(F.array_join(F.slice("words", 1, span), " ").alias("spoken")).agg(
+        F.collect_set(F.struct("phrase", "label", F.array_join("words", " ").alias("whole"))).alias("entries")
     )
     spoken = documents.select(*key, spoken_words(text).alias("words")).select(
-        *key, F.inline(with_following(F.col("words"), longest))
+        *key, F.inline(with_following(F.col("words"), together))
     )
     starts = lookup_join(spoken, heads, ["word0"], "left_semi", limits=limits)
-    phrases = starts.select(*key, F.explode(phrases_from(longest)).alias("spoken"))
-    found = lookup_join(phrases, known, ["spoken"], limits=limits).select(*key, F.inline("entries"))
+    phrases = starts.select(*key, F.explode(phrases_from(together)).alias("spoken"))
+    met = lookup_join(phrases, known, ["spoken"], limits=limits).select(*key, "spoken", F.inline("entries"))
+    found = met.filter(F.col("whole") == F.col("spoken")).select(*key, "phrase", "label")
+    if longest > span:
+        begun = met.filter(F.col("whole") != F.col("spoken")).select(*key, "phrase", "label", "whole").distinct()
+        said = documents.select(*key, F.concat(F.lit(" "), F.array_join(spoken_words(text), " "), F.lit(" ")).alias("said"))
+        rest = begun.join(said, list(key)).filter(F.contains("said", F.concat(F.lit(" "), "whole", F.lit(" "))))
+        found = found.unionByName(rest.select(*key, "phrase", "label"))
     return found.groupBy(*key).agg(*[
         distinct_when(F.col("label") == label, F.col("phrase")).alias(name)
         for label, name in LABELS.items()

@@ -58,16 +58,33 @@ def test_entities(spark, limits):
     ]
 
 
-def test_entities_equal_brute_force(spark, limits):
+@pytest.mark.parametrize("span", [2, 8])
+def test_entities_equal_brute_force(spark, limits, span):
     texts = [("s", str(i), " ".join("abcd"[(i * 7 + j * j) % 4] for j in range(i))) for i in range(1, 25)]
     phrases = ["a", "a b", "b c d", "d d", "c a b a d", "zz"]
     frame = spark.createDataFrame(texts, "source string, id string, summary string")
     gazetteer = spark.createDataFrame([(p, "ORG") for p in phrases], "phrase string, label string")
-    found = dict(rows(entities.entities(frame, gazetteer, limits=limits).select("id", "organizations")))
+    found = dict(rows(entities.entities(frame, gazetteer, limits=limits, span=span).select("id", "organizations")))
     expected = {n: sorted(p for p in phrases if f" {p} " in f" {t} ") for _, n, t in texts}
     assert found == {n: names for n, names in expected.items() if names}
 
 
+def test_a_long_phrase_and_a_long_run_of_punctuation(spark):
+    phrase = " ".join(f"w{i}" for i in range(200))
+    texts = [("s", "1", f"a {phrase} b"), ("s", "2", phrase[:-1]), ("s", "3", "x" + "-" * 1_000_000 + "y w0")]
+    frame = spark.createDataFrame(texts, "source string, id string, summary string")
+    gazetteer = spark.createDataFrame([(phrase, "ORG"), ("w0", "GPE")], "phrase string, label string")
+    found = entities.entities(frame, gazetteer).select("id", "organizations", "locations")
+    assert rows(found) == [("1", [phrase], ["w0"]), ("2", [], ["w0"]), ("3", [], ["w0"])]
+
+
+def test_emoticons_and_repeated_tokens(spark):
+    lexicon = spark.createDataFrame([(":)", 2.0), ("good", 1.0), ("Good", 3.0)], "token string, valence double")
+    frame = spark.createDataFrame([("s", "1", "see you :)"), ("s", "2", "(good)!")], "source string, id string, summary string")
+    found = dict(rows(sentiment.sentiment_scores(frame, lexicon).select("id", "sentiment_score")))
+    assert found == {"1": pytest.approx(2 / 19**0.5), "2": pytest.approx(2 / 19**0.5)}
+
+
 def test_an_empty_gazetteer_or_lexicon_finds_nothing(spark, documents, lexicon, limits):
     gazetteer = spark.createDataFrame([], "phrase string, label string")
     assert entities.entities(documents, gazetteer, limits=limits).count() == 0
