@@ -1,7 +1,7 @@
 """DuckDB SQL per query, written from the definition of the operator, not from its Spark plan."""
 
 from newsloom.functions.stopwords import SUMMARY_STOP_WORDS, TITLE_STOP_WORDS
-from newsloom.operators.sentiment import NEGATIONS
+from newsloom.operators.sentiment import BOOSTERS, DAMPENERS, NEGATIONS
 
 SPACE = r"[ \t\n\v\f\r]+"
 
@@ -62,16 +62,49 @@ LEXICON = f"""
 lexicon AS (
     SELECT DISTINCT word AS token, CAST(length(word) % 9 - 4 AS DOUBLE) AS valence
     FROM (SELECT unnest({tokens(clean_summary("text"))}) AS word FROM benchmark))"""
+def stepped(step: int, fade: float) -> str:
+    """The valence after the word ``step`` places before has had its say."""
+    never = {1: "false", 2: "l1 IN ('so', 'this')", 3: "(l1 IN ('so', 'this') OR l2 IN ('so', 'this'))"}[step]
+    doubt = {1: "false", 2: "l1 = 'doubt'", 3: "(l1 = 'doubt' OR l2 = 'doubt')"}[step]
+    old, word, up = f"v{step - 1}", f"l{step}", f"u{step}"
+    degree = f"CASE WHEN {word} IN ({quoted(BOOSTERS)}) THEN 0.293 WHEN {word} IN ({quoted(DAMPENERS)}) THEN -0.293 END"
+    added = f"""({degree} * CASE WHEN {old} < 0 THEN -1 ELSE 1 END
+        + CASE WHEN mixed AND {up} THEN CASE WHEN {old} > 0 THEN 0.733 ELSE -0.733 END ELSE 0 END) * {fade}"""
+    scale = f"""CASE WHEN {word} = 'never' AND {never} THEN 1.25 WHEN {word} = 'without' AND {doubt} THEN 1
+        WHEN {word} IN ({quoted(NEGATIONS)}) OR contains({word}, 'n''t') THEN -0.74 ELSE 1 END"""
+    return f"""CASE WHEN {word} IS NULL OR k{step} THEN {old} ELSE ({old} + coalesce({added}, 0)::DOUBLE) * {scale} END AS v{step}"""
+
+
 SENTIMENT = f"""
-said AS ({numbered_words(spoken_tokens("lower(summary)"), "id", "articles")}),
-marked AS (
-    SELECT id, word, word IN ({quoted(NEGATIONS)}) OR contains(word, 'n''t') AS negation, place FROM said),
+said AS ({numbered_words(spoken_tokens("summary"), "id", "articles")}),
+heard AS (
+    SELECT id, place, lower(word) AS l0, upper(word) = word AND lower(word) <> word AS u0, valence,
+           valence IS NOT NULL AS k0
+    FROM said LEFT JOIN lexicon ON lower(word) = token),
+lagged AS (
+    SELECT *, {", ".join(f"lag({c}0, {n}) OVER w AS {c}{n}" for c in "luk" for n in (1, 2, 3))},
+           count(*) FILTER (u0) OVER d > 0 AND count(*) FILTER (u0) OVER d < count(*) OVER d AS mixed,
+           min(place) FILTER (l0 = 'but') OVER d AS but
+    FROM heard WINDOW w AS (PARTITION BY id ORDER BY place), d AS (PARTITION BY id)),
+zero AS (
+    SELECT *, valence + CASE WHEN mixed AND u0 THEN CASE WHEN valence > 0 THEN 0.733 ELSE -0.733 END ELSE 0 END::DOUBLE AS v0
+    FROM lagged WHERE k0 AND l0 NOT IN ({quoted([*BOOSTERS, *DAMPENERS])})),
+one AS (SELECT *, {stepped(1, 1.0)} FROM zero),
+two AS (SELECT *, {stepped(2, 0.95)} FROM one),
+three AS (SELECT *, {stepped(3, 0.9)} FROM two),
 valued AS (
-    SELECT id, valence * CASE WHEN coalesce(bool_or(negation) OVER (
-               PARTITION BY id ORDER BY place ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), false)
-           THEN -0.74 ELSE 1 END AS valence
-    FROM marked LEFT JOIN lexicon ON word = token),
-totals AS (SELECT id, sum(valence) AS total FROM valued WHERE valence IS NOT NULL GROUP BY id),
+    SELECT id, v3 * CASE WHEN l1 = 'least' AND NOT k1 AND coalesce(l2, '') NOT IN ('at', 'very') THEN -0.74 ELSE 1 END
+           * CASE WHEN place < but THEN 0.5 WHEN place > but THEN 1.5 ELSE 1 END AS valence
+    FROM three),
+marks AS (
+    SELECT id, least(len(regexp_extract_all(summary, '!')), 4) * 0.292::DOUBLE
+           + CASE WHEN len(regexp_extract_all(summary, '[?]')) <= 1 THEN 0
+                  WHEN len(regexp_extract_all(summary, '[?]')) <= 3 THEN len(regexp_extract_all(summary, '[?]')) * 0.18
+                  ELSE 0.96 END::DOUBLE AS emphasis
+    FROM articles),
+totals AS (
+    SELECT id, total + sign(total) * emphasis AS total
+    FROM (SELECT id, sum(valence) AS total FROM valued GROUP BY id) JOIN marks USING (id)),
 scores AS (SELECT id, round(total / sqrt(total * total + 15), 6) AS sentiment_score FROM totals)"""
 
 GAZETTEER = f"""

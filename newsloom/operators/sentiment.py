@@ -7,12 +7,33 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.words import spoken_tokens
 from newsloom.operators.lookup import DEFAULT_LIMITS, Limits, lookup_join
+from newsloom.session import cut_lineage
 from newsloom.sources.schemas import DOCUMENT_KEY
 
-# Fixed values of the published method: scale of a negated valence, normalisation, span and words of negation.
+# Fixed values of the published method: scale of a negated valence, normalisation, span and words of negation, what a
+# word of degree adds and how much of it from one, two and three words away, what capitals add, and how often what
+# "never so" says, what stands on either side of "but", and exclamation and question marks count.
 NEGATED = -0.74
 ALPHA = 15.0
 NEGATION_SPAN = 3
+DEGREE = 0.293
+FADES = (1.0, 0.95, 0.9)
+CAPITALS = 0.733
+NEVER_SO = 1.25
+BEFORE_BUT, AFTER_BUT = 0.5, 1.5
+EXCLAMATION, EXCLAMATIONS = 0.292, 4
+QUESTION, QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96
+BOOSTERS = """
+absolutely amazingly awfully completely considerable considerably decidedly deeply effing enormous enormously entirely
+especially exceptional exceptionally extreme extremely fabulously flipping flippin frackin fracking fricking frickin
+frigging friggin fully greatly hella highly hugely incredible incredibly intensely major majorly more most particularly
+purely quite really remarkably so substantially thoroughly total totally tremendous tremendously uber unbelievably
+unusually utter utterly very
+""".split()
+DAMPENERS = """
+almost barely hardly kinda kindof kind-of less little marginal marginally occasional occasionally partly scarce scarcely
+slight slightly somewhat sorta sortof sort-of
+""".split()
 NEGATIONS = """
 aint arent cannot cant couldnt darent didnt doesnt ain't aren't can't couldn't daren't didn't doesn't dont
 hadnt hasnt havent isnt mightnt mustnt neither don't hadn't hasn't haven't isn't mightn't mustn't neednt
@@ -43,6 +64,43 @@ def compound(total: Column) -> Column:
     return total / F.sqrt(total * total + F.lit(ALPHA))
 
 
+def is_upper(word: Column) -> Column:
+    return (F.upper(word) == word) & (F.lower(word) != word)
+
+
+def emphasis(text: Column) -> Column:
+    """What exclamation and question marks of a text add to the size of its sum."""
+    exclaimed, asked = (F.length(text) - F.length(F.replace(text, F.lit(sign))) for sign in "!?")
+    questions = F.when(asked <= 1, 0.0).when(asked <= QUESTIONS, asked * F.lit(QUESTION)).otherwise(MANY_QUESTIONS)
+    return F.least(exclaimed, F.lit(EXCLAMATIONS)) * F.lit(EXCLAMATION) + questions
+
+
+def weighted_valence() -> Column:
+    """The valence of ``token`` by the words before it, from the nearest to the third; words of the lexicon say nothing
+    about others."""
+    before = {step: F.col(f"before{step}") for step in range(1, NEGATION_SPAN + 1)}
+    loud = F.when(F.col("valence") > 0, CAPITALS).otherwise(-CAPITALS)
+    value = F.col("valence") + F.when(F.col("loud_token"), loud).otherwise(0.0)
+    so = {step: F.coalesce(before[step].isin("so", "this"), F.lit(False)) for step in (1, 2)}
+    doubt = {step: F.coalesce(before[step] == "doubt", F.lit(False)) for step in (1, 2)}
+    for step, fade in enumerate(FADES, 1):
+        word = before[step]
+        added = F.when(word.isin(BOOSTERS), DEGREE).when(word.isin(DAMPENERS), -DEGREE)
+        added = F.when(value < 0, -added).otherwise(added)
+        added = added + F.when(F.col(f"loud_before{step}"), F.when(value > 0, CAPITALS).otherwise(-CAPITALS)).otherwise(0.0)
+        moved = value + F.coalesce(added * fade, F.lit(0.0))
+        nearer_so = so[1] if step == 2 else so[1] | so[2]
+        nearer_doubt = doubt[1] if step == 2 else doubt[1] | doubt[2]
+        scale = F.when(is_negation(word), NEGATED).otherwise(1.0)
+        if step > 1:
+            scale = F.when((word == "never") & nearer_so, NEVER_SO).when((word == "without") & nearer_doubt, 1.0).otherwise(scale)
+        counts = word.isNotNull() & F.col(f"known_before{step}").isNull()
+        value = F.when(counts, moved * scale).otherwise(value)
+    least = (before[1] == "least") & F.col("known_before1").isNull()
+    least = least & ~F.coalesce(before[2].isin("at", "very"), F.lit(False))
+    return F.when(least, value * NEGATED).otherwise(value)
+
+
 def sentiment_scores(
     documents: DataFrame, lexicon: DataFrame, text: str = "summary",
     key: Sequence[str] = DOCUMENT_KEY, limits: Limits = DEFAULT_LIMITS,
@@ -53,18 +111,33 @@ def sentiment_scores(
     before anything is shuffled. Documents not returned have a score of 0. A token that the lexicon has twice
     counts with its mean valence.
     """
-    lexicon = lexicon.groupBy(F.lower("token").alias("token")).agg(F.avg("valence").alias("valence"))
-    words = spoken_tokens(F.lower(text))
-    spoken = documents.select(*key, words.alias("words")).select(
-        *key, F.inline(with_preceding(F.col("words")))
+    lexicon = cut_lineage(lexicon.groupBy(F.lower("token").alias("token")).agg(F.avg("valence").alias("valence")))
+    said = documents.select(*key, F.col(text).alias("said"), spoken_tokens(text).alias("words"))
+    shouted = F.size(F.filter("words", is_upper))
+    said = said.select(
+        *key, "words", ((shouted > 0) & (shouted < F.size("words"))).alias("mixed"), emphasis(F.col("said")).alias("emphasis"),
+        F.array_position(F.transform("words", lambda w: F.lower(w)), "but").alias("but"),
+    )
+    placed = F.posexplode(with_preceding(F.col("words"))).alias("place", "at")
+    spoken = said.select(*key, "mixed", "emphasis", "but", placed).select("*", "at.*").drop("at")
+    befores = [f"before{step}" for step in range(1, NEGATION_SPAN + 1)]
+    spoken = spoken.withColumns({
+        **{f"loud_{name}": F.col("mixed") & is_upper(F.col(name)) for name in ("token", *befores)},
+        **{name: F.lower(name) for name in ("token", *befores)},
+    })
+    rows = lookup_join(spoken.filter(~F.col("token").isin(BOOSTERS + DAMPENERS)), lexicon, ["token"], limits=limits)
+    for name in befores:
+        known = lexicon.select(F.col("token").alias(name), F.lit(True).alias(f"known_{name}"))
+        rows = lookup_join(rows, known, [name], "left", limits=limits)
+    number = F.col("place") + 1
+    rows = rows.withColumn("valence", weighted_valence()).withColumn(
+        "valence",
+        F.col("valence") * F.when(F.col("but") == 0, 1.0).when(number < F.col("but"), BEFORE_BUT)
+        .when(number > F.col("but"), AFTER_BUT).otherwise(1.0),
     )
-    negated = is_negation(F.col("before1"))
-    for step in range(2, NEGATION_SPAN + 1):
-        negated = negated | is_negation(F.col(f"before{step}"))
-    valence = F.when(negated, F.col("valence") * F.lit(NEGATED)).otherwise(F.col("valence"))
+    total = F.col("total") + F.signum("total") * F.col("emphasis")
     return (
-        lookup_join(spoken, lexicon, ["token"], limits=limits)
-        .groupBy(*key)
-        .agg(F.sum(valence).alias("total"))
-        .select(*key, compound(F.col("total")).alias("sentiment_score"))
+        rows.groupBy(*key)
+        .agg(F.sum("valence").alias("total"), F.max("emphasis").alias("emphasis"))
+        .select(*key, compound(total).alias("sentiment_score"))
     )

@@ -33,8 +33,8 @@ def compound(total):
 def test_sentiment(documents, lexicon, limits):
     scores = dict(rows(sentiment.sentiment_scores(documents, lexicon, limits=limits).select("id", "sentiment_score")))
     assert scores == pytest.approx({
-        "1": compound(1.9 + 2.5 * 0.74), "3": compound(1.9), "2": compound(1.9),
-        "8": compound(-1.9 * 0.74 + 2.5 * 0.74 + 2.5 * 0.74),
+        "1": compound(1.9 + 2.5 * 0.74 + 0.292), "3": compound(1.9), "2": compound(1.9 + 0.293),
+        "8": compound(-(1.9 + 0.733) * 0.74 + 2.5 * 0.74 + 2.5 * 0.74),
     })
     assert all(abs(score) <= 1 for score in scores.values())
 
@@ -82,7 +82,23 @@ def test_emoticons_and_repeated_tokens(spark):
     lexicon = spark.createDataFrame([(":)", 2.0), ("good", 1.0), ("Good", 3.0)], "token string, valence double")
     frame = spark.createDataFrame([("s", "1", "see you :)"), ("s", "2", "(good)!")], "source string, id string, summary string")
     found = dict(rows(sentiment.sentiment_scores(frame, lexicon).select("id", "sentiment_score")))
-    assert found == {"1": pytest.approx(2 / 19**0.5), "2": pytest.approx(2 / 19**0.5)}
+    assert found == {"1": pytest.approx(2 / 19**0.5), "2": pytest.approx(compound(2.292))}
+
+
+@pytest.mark.parametrize("text, score", [
+    ("VADER is smart, handsome, and funny.", 0.8316), ("VADER is smart, handsome, and funny!", 0.8439),
+    ("VADER is very smart, handsome, and funny.", 0.8545), ("VADER is VERY SMART, handsome, and FUNNY.", 0.9227),
+    ("VADER is VERY SMART, handsome, and FUNNY!!!", 0.9342),
+    ("VADER is VERY SMART, uber handsome, and FRIGGIN FUNNY!!!", 0.9469),
+    ("VADER is not smart, handsome, nor funny.", -0.7424), ("The book was good.", 0.4404),
+    ("At least it isn't a horrible book.", 0.431), ("Today SUX!", -0.5461),
+    ("The plot was good, but the characters are uncompelling and the dialog is not great.", -0.7042),
+])
+def test_published_examples(spark, text, score):
+    valences = {"smart": 1.7, "handsome": 2.2, "funny": 1.9, "good": 1.9, "horrible": -2.5, "great": 3.1, "sux": -1.5, "uncompelling": -0.9}
+    lexicon = spark.createDataFrame(list(valences.items()), "token string, valence double")
+    frame = spark.createDataFrame([("s", "1", text)], "source string, id string, summary string")
+    assert sentiment.sentiment_scores(frame, lexicon).first()["sentiment_score"] == pytest.approx(score, abs=6e-5)
 
 
 def test_an_empty_gazetteer_or_lexicon_finds_nothing(spark, documents, lexicon, limits):
