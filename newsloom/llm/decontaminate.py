@@ -37,7 +37,7 @@ MIN_ITEM = 10
 AGREE = 0.8
 MARGIN = 24  # tokens kept on each side of a segment's hits
 FILTER_BITS = 26
-SLICE = 1 << 23
+SLICE = 1 << 21
 SEED = 42
 
 
