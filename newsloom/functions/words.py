@@ -49,10 +49,10 @@ def spoken_words(text) -> Column:
 
 def spoken_tokens(text) -> Column:
     """Like ``spoken_words``, but a word of at most two signs without its punctuation keeps it: ``:)`` is a word."""
-    bare = lambda token: F.regexp_replace(token, EDGE_PUNCTUATION, "")
-    return F.transform(
-        tokens(text), lambda token: F.when(F.length(bare(token)) > 2, bare(token)).otherwise(token)
-    )
+    cut = F.transform(tokens(text), lambda token: F.struct(
+        token.alias("whole"), F.regexp_replace(token, EDGE_PUNCTUATION, "").alias("bare")
+    ))
+    return F.transform(cut, lambda word: F.when(F.length(word["bare"]) > 2, word["bare"]).otherwise(word["whole"]))
 
 
 def domain_of(url) -> Column:

@@ -75,30 +75,33 @@ def emphasis(text: Column) -> Column:
     return F.least(exclaimed, F.lit(EXCLAMATIONS)) * F.lit(EXCLAMATION) + questions
 
 
-def weighted_valence() -> Column:
-    """The valence of ``token`` by the words before it, from the nearest to the third; words of the lexicon say nothing
-    about others."""
+def weighted(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``valence`` as the words before ``token`` change it, from the nearest to the third.
+
+    Words of the lexicon say nothing about others. Each step is a column of its own, as the next refers to it often.
+    """
     before = {step: F.col(f"before{step}") for step in range(1, NEGATION_SPAN + 1)}
-    loud = F.when(F.col("valence") > 0, CAPITALS).otherwise(-CAPITALS)
-    value = F.col("valence") + F.when(F.col("loud_token"), loud).otherwise(0.0)
+    value = F.col("valence")
+    louder = F.when(value > 0, CAPITALS).otherwise(-CAPITALS)
+    rows = rows.withColumn("valence", value + F.when(F.col("loud_spoken"), louder).otherwise(0.0))
     so = {step: F.coalesce(before[step].isin("so", "this"), F.lit(False)) for step in (1, 2)}
     doubt = {step: F.coalesce(before[step] == "doubt", F.lit(False)) for step in (1, 2)}
     for step, fade in enumerate(FADES, 1):
         word = before[step]
-        added = F.when(word.isin(BOOSTERS), DEGREE).when(word.isin(DAMPENERS), -DEGREE)
-        added = F.when(value < 0, -added).otherwise(added)
-        added = added + F.when(F.col(f"loud_before{step}"), F.when(value > 0, CAPITALS).otherwise(-CAPITALS)).otherwise(0.0)
-        moved = value + F.coalesce(added * fade, F.lit(0.0))
+        degree = F.when(word.isin(BOOSTERS), DEGREE).when(word.isin(DAMPENERS), -DEGREE)
+        added = degree * F.when(value < 0, -1.0).otherwise(1.0)
+        added = added + F.when(F.col(f"loud_before{step}"), louder).otherwise(0.0)
         nearer_so = so[1] if step == 2 else so[1] | so[2]
         nearer_doubt = doubt[1] if step == 2 else doubt[1] | doubt[2]
         scale = F.when(is_negation(word), NEGATED).otherwise(1.0)
         if step > 1:
             scale = F.when((word == "never") & nearer_so, NEVER_SO).when((word == "without") & nearer_doubt, 1.0).otherwise(scale)
         counts = word.isNotNull() & F.col(f"known_before{step}").isNull()
-        value = F.when(counts, moved * scale).otherwise(value)
+        moved = (value + F.coalesce(added * fade, F.lit(0.0))) * scale
+        rows = rows.withColumn("valence", F.when(counts, moved).otherwise(value))
     least = (before[1] == "least") & F.col("known_before1").isNull()
     least = least & ~F.coalesce(before[2].isin("at", "very"), F.lit(False))
-    return F.when(least, value * NEGATED).otherwise(value)
+    return rows.withColumn("valence", F.when(least, value * NEGATED).otherwise(value))
 
 
 def sentiment_scores(
@@ -121,16 +124,17 @@ def sentiment_scores(
     placed = F.posexplode(with_preceding(F.col("words"))).alias("place", "at")
     spoken = said.select(*key, "mixed", "emphasis", "but", placed).select("*", "at.*").drop("at")
     befores = [f"before{step}" for step in range(1, NEGATION_SPAN + 1)]
-    spoken = spoken.withColumns({
-        **{f"loud_{name}": F.col("mixed") & is_upper(F.col(name)) for name in ("token", *befores)},
-        **{name: F.lower(name) for name in ("token", *befores)},
-    })
+    spoken = spoken.withColumnRenamed("token", "spoken").withColumn("token", F.lower("spoken"))
     rows = lookup_join(spoken.filter(~F.col("token").isin(BOOSTERS + DAMPENERS)), lexicon, ["token"], limits=limits)
+    rows = rows.withColumns({
+        **{f"loud_{name}": F.col("mixed") & is_upper(F.col(name)) for name in ("spoken", *befores)},
+        **{name: F.lower(name) for name in befores},
+    })
     for name in befores:
         known = lexicon.select(F.col("token").alias(name), F.lit(True).alias(f"known_{name}"))
         rows = lookup_join(rows, known, [name], "left", limits=limits)
     number = F.col("place") + 1
-    rows = rows.withColumn("valence", weighted_valence()).withColumn(
+    rows = weighted(rows).withColumn(
         "valence",
         F.col("valence") * F.when(F.col("but") == 0, 1.0).when(number < F.col("but"), BEFORE_BUT)
         .when(number > F.col("but"), AFTER_BUT).otherwise(1.0),
