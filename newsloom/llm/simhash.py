@@ -208,24 +208,3 @@ def near_duplicates(
 
 def as_hex(fingerprint: Column) -> Column:
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
-
-
-def one_of_each(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", radius: int = RADIUS, broadcast_bytes: int = 32 << 20
-) -> DataFrame:
-    """``docs`` with one row of each component: the smallest id, of equal ids the first row, null ids last.
-
-    The rows are stored once with a number, their fingerprint and all columns, so that all later steps see the
-    same rows. The numbers to drop are stored and measured: within ``broadcast_bytes`` they are broadcast, else joined.
-    """
-    columns = docs.columns
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    marked = cut_lineage(fingerprints(numbered, [*columns, "__row"], text, name="__mark"))
-    narrow = marked.select(
-        "__row", F.col("__mark").alias("fingerprint"),
-        F.struct(F.col(f"`{id_column}`").isNull().alias("none"), F.col(f"`{id_column}`").alias("id"), "__row").alias("rank"),
-    )
-    placed = near_duplicates(narrow, "rank", radius)
-    drop = cut_lineage(placed.filter(F.col("rank.__row") != F.col("component_id.__row")).select(F.col("__row").alias("__drop")))
-    small = F.broadcast(drop) if drop.count() * 16 <= broadcast_bytes else drop
-    return marked.join(small, F.col("__row") == F.col("__drop"), "left_anti").select(*[F.col(f"`{c}`") for c in columns])

@@ -1,0 +1,93 @@
+import random
+
+import pytest
+
+from newsloom.llm.minhash import one_of_each
+from newsloom.llm.simhash import simhash
+
+
+def plain_shingles(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b) if a | b else 1
+
+
+def survivors(rows):
+    """Every pair that shares a shingle is compared; of each component the smallest id that is not null."""
+    sets = [plain_shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    having = {}
+    for x, own in enumerate(sets):
+        shared = {y for s in own or [None] for y in having.get(s, ())}  # others have similarity 0
+        for y in shared:
+            if similarity(sets[x], sets[y]) >= 0.8:
+                parent[root(x)] = root(y)
+        for s in own or [None]:
+            having.setdefault(s, []).append(x)
+    groups = {}
+    for x, (i, _) in enumerate(rows):
+        groups.setdefault(root(x), []).append(i)
+    return sorted((min((i for i in g if i is not None), default=None) for g in groups.values()), key=repr)
+
+
+def made(seed):
+    r = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    texts = []
+    for _ in range(25):
+        base = r.choices(words, k=r.randrange(60, 400))
+        texts.append(" ".join(base))
+        for _ in range(4):
+            copy = list(base)
+            for _ in range(max(1, len(copy) // r.choice([25, 40, 60, 100]))):
+                copy[r.randrange(len(copy))] = r.choice(words)
+            texts.append("\n".join([" ".join(copy[:20]), " ".join(copy[20:])]))
+    chain = r.choices(words, k=200)  # each step is near the next one, the ends are not near
+    texts += [" ".join(chain[15 * i : 15 * i + 150]) for i in range(4)]
+    texts += [None, "", " \t\n", "One", "one", "one two", "a b c d e", "A b c d e", texts[0], texts[0].upper()]
+    rows = [(None if i % 19 == 0 else i, t) for i, t in enumerate(texts)]
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("part_rows, broadcast_bytes", [(2048, 32 << 20), (2, -1)])
+def test_against_all_pairs(spark, part_rows, broadcast_bytes):
+    rows = made(5)
+    frame = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, component string").repartition(3)
+    found = one_of_each(frame, part_rows=part_rows, broadcast_bytes=broadcast_bytes)
+    assert found.columns == frame.columns
+    assert sorted((r["doc_id"] for r in found.collect()), key=repr) == survivors(rows)
+
+
+def test_beyond_three_bits(spark):
+    """Near copies that the fingerprints of op9 do not link."""
+    rows = [(i, t) for i, t in made(6) if t]
+    far = [
+        (a, b) for a, s in rows for b, t in rows
+        if a is not None and b is not None and a < b and similarity(plain_shingles(s), plain_shingles(t)) >= 0.8
+        and (simhash(s.encode()) ^ simhash(t.encode())).bit_count() > 3
+    ]
+    found = {r["doc_id"] for r in one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(far) > 10 and not any(b in found for _, b in far)
+
+
+def test_a_stage_of_the_test_table(spark):
+    """No pair at 0.8 or more is left of the documents of the test table."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("n_chars > 250")
+    kept = corpus_pipeline.near_duplicates(spark, docs, None).select("doc_id", "text").collect()
+    assert sorted((r["doc_id"] for r in kept), key=repr) == survivors([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_empty(spark):
+    assert one_of_each(spark.createDataFrame([], "doc_id long, text string")).count() == 0
