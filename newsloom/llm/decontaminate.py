@@ -14,7 +14,8 @@ four fifths of the tokens between its ends agree. Items of fewer than ``MIN_ITEM
 chance and are not searched. Items with equal tokens are one: the smallest item id stands for them.
 
 Defined results: null, empty and token-free texts overlap nothing, on either side; texts of any length are searched
-whole; a repeated row's overlaps are reported once for its id; a null id is an id of its own; other columns play
+whole; a repeated row's overlaps are reported once for its id; a null id is an id of its own; items of different tokens are
+reported each, whether their item id is null or repeated; other columns play
 no part, whatever their names; an empty table on either side gives no rows.
 """
 
@@ -88,7 +89,7 @@ def passing(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def benchmark_items(benchmark: DataFrame, item: str = "item_id", text: str = "text", min_item: int = MIN_ITEM) -> DataFrame:
-    """(item_id, item_tokens) of the distinct items that are long enough."""
+    """(item_id, item_tokens, item) of the distinct items that are long enough; ``item``, a number once stored, is what joins go by."""
     chosen = benchmark.select(F.col(f"`{item}`").cast("long").alias("item_id"), F.col(f"`{text}`").alias("text"))
 
     def tokenized(batches):
@@ -98,11 +99,12 @@ def benchmark_items(benchmark: DataFrame, item: str = "item_id", text: str = "te
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["item_id", "item_tokens"])
 
     found = chosen.mapInArrow(tokenized, "item_id long, item_tokens array<long>")
-    return found.filter(F.size("item_tokens") >= min_item).groupBy("item_tokens").agg(F.min("item_id").alias("item_id"))
+    distinct = found.filter(F.size("item_tokens") >= min_item).groupBy("item_tokens").agg(F.min("item_id").alias("item_id"))
+    return distinct.select("item_id", "item_tokens", F.monotonically_increasing_id().alias("item"))
 
 
 def test_windows(items: DataFrame, masks: Sequence[str] = MASKS) -> DataFrame:
-    """(hash, item_id, item_at)"""
+    """(hash, item, item_at)"""
     masks = list(masks)
 
     def hashed(batches):
@@ -116,9 +118,9 @@ def test_windows(items: DataFrame, masks: Sequence[str] = MASKS) -> DataFrame:
                 row = np.searchsorted(starts, at, side="right") - 1
                 place = pa.array((at - starts[row]).astype(np.int64))
                 arrays = [pa.array(hashes.view(np.int64)), ids.take(pa.array(row)), place]
-                yield pa.RecordBatch.from_arrays(arrays, names=["hash", "item_id", "item_at"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["hash", "item", "item_at"])
 
-    return items.select("item_id", "item_tokens").mapInArrow(hashed, "hash long, item_id long, item_at long")
+    return items.select("item", "item_tokens").mapInArrow(hashed, "hash long, item long, item_at long")
 
 
 def filter_of(windows: DataFrame) -> np.ndarray:
@@ -230,17 +232,17 @@ def overlaps(
     found = cut_lineage(segments(docs, keep, text, filter_of(windows), masks))
     hits = found.select("segment", F.explode("hits").alias("hit")).select("segment", "hit.hash", "hit.at")
     shift = (F.col("at") - F.col("item_at")).alias("shift")
-    aligned = hits.join(windows, "hash").select("segment", "item_id", shift).distinct()
-    aligned = aligned.groupBy("segment", "item_id").agg(F.sort_array(F.collect_list("shift")).alias("shifts"))
-    pairs = aligned.join(found.drop("hits"), "segment").join(items, "item_id")
-    pairs = pairs.select(*[F.col(f"`{c}`") for c in keep], "item_id", "begin", "tokens", "item_tokens", "shifts")
+    aligned = hits.join(windows, "hash").select("segment", F.col("item").alias("__item"), shift).distinct()
+    aligned = aligned.groupBy("segment", "__item").agg(F.sort_array(F.collect_list("shift")).alias("shifts"))
+    pairs = aligned.join(found.drop("hits"), "segment").join(items.withColumnRenamed("item", "__item"), "__item")
+    pairs = pairs.select(*[F.col(f"`{c}`") for c in keep], "item_id", "__item", "begin", "tokens", "item_tokens", "shifts")
     made = ("doc_token", "item_token", "n_tokens", "n_same", "n_item")
 
     def verified(batches):
         for batch in batches:
             rows, out = [], []
             for i in range(batch.num_rows):
-                begin, tokens, item_tokens, shifts = (batch.column(len(keep) + k)[i] for k in (1, 2, 3, 4))
+                begin, tokens, item_tokens, shifts = (batch.column(len(keep) + k)[i] for k in (2, 3, 4, 5))
                 tokens = tokens.values.to_numpy()
                 own = item_tokens.values.to_numpy()
                 best = (0, 0, 0, 0)
@@ -252,14 +254,14 @@ def overlaps(
                     rows.append(i)
                     out.append((*best, len(own)))
             if rows:
-                kept = [batch.column(k).take(pa.array(rows)) for k in range(len(keep) + 1)]
+                kept = [batch.column(k).take(pa.array(rows)) for k in range(len(keep) + 2)]
                 arrays = [*kept, *[pa.array(v, pa.int64()) for v in zip(*out)]]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "item_id", *made])
+                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "item_id", "__item", *made])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields[: len(keep) + 1])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields[: len(keep) + 2])
     leaks = pairs.mapInArrow(verified, f"{fields}, " + ", ".join(f"{m} long" for m in made))
     best = F.max(F.struct("n_same", F.negative("n_tokens").alias("short"), F.negative("doc_token").alias("early"), *made[1:3], "n_item"))
-    ranked = leaks.groupBy(*[F.col(f"`{c}`") for c in keep], "item_id").agg(best.alias("__best"))
+    ranked = leaks.groupBy(*[F.col(f"`{c}`") for c in keep], "item_id", "__item").agg(best.alias("__best"))
     return ranked.select(
         *[F.col(f"`{c}`") for c in keep], "item_id", F.negative("__best.early").alias("doc_token"),
         *[F.col(f"__best.{m}").alias(m) for m in made[1:]],

@@ -99,3 +99,14 @@ def test_empty_tables(spark):
     assert overlaps(docs.limit(0), bench).count() == 0
     assert overlaps(docs, bench.limit(0)).count() == 0
     assert without_overlaps(docs, bench.limit(0)).count() == 1
+
+
+def test_null_and_repeated_item_ids(spark):
+    items = [" ".join(f"{name}{k}" for k in range(14)) for name in "abcd"]
+    bench = spark.createDataFrame(list(zip([None, None, 5, 5], items)), "item_id long, text string")
+    rows = [(1, "x y " + items[0] + " z"), (2, items[1]), (3, items[2] + " so " + items[3]), (4, "x y z"), (None, items[0] + " " + items[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((r["doc_id"], r["item_id"], r["doc_token"], r["n_same"]) for r in overlaps(docs, bench).collect()), key=repr)
+    assert found == [
+        (1, None, 2, 14), (2, None, 0, 14), (3, 5, 0, 14), (3, 5, 15, 14), (None, None, 0, 14), (None, None, 14, 14)]
+    assert [r["doc_id"] for r in without_overlaps(docs, bench).collect()] == [4]
