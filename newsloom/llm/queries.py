@@ -8,12 +8,15 @@ from newsloom.llm.cascade import METRICS, quality_rules, rule_order
 from newsloom.llm.credentials import BASE, secret_spans, written
 from newsloom.llm.decontaminate import overlaps
 from newsloom.llm.line_dedup import line_dedup
+from newsloom.llm.negatives import hard_negatives
 from newsloom.llm.packing import pack
+from newsloom.llm.page_text import page_text
 from newsloom.llm.perplexity import classify
 from newsloom.llm.pseudonyms import pseudonymize
 from newsloom.llm.records import new_folder, read_index, read_records, write_records
 from newsloom.llm.sharding import shard
 from newsloom.llm.simhash import as_hex, fingerprints, near_duplicates
+from newsloom.llm.spelling import spelling_variants
 from newsloom.session import cut_lineage
 
 
@@ -97,11 +100,27 @@ def op10_sharding(spark, sf_dir):
     return shard(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op11_page_text(spark, sf_dir):
+    """The main text of each page."""
+    return page_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+def op12_spelling_variants(spark, sf_dir):
+    """The words of all documents, the near word each is a variant of, and where these lead."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    """The hard negatives of every hundredth vector's positives; every seventh vector has a wrong label first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
 QUERIES = {
     run.__name__: run
     for run in (
         op1_line_dedup, op2_records, op3_pseudonyms, op4_credentials, op5_perplexity, op6_quality_rules, op7_packing,
-        op8_decontaminate, op9_simhash, op10_sharding,
+        op8_decontaminate, op9_simhash, op10_sharding, op11_page_text, op12_spelling_variants, op13_hard_negatives,
     )
 }
 
@@ -158,5 +177,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR 5 * n_shouted > n_words OR 5 * n_wordless > n_words
             OR 5 * coalesce(n_stuttered, 0) > n_words) AS kept
 FROM counts LEFT JOIN stutters USING (doc_id)
+""",
+    # The extraction goes by structure; this says what it must give on the markup that the given pages have.
+    "op11_page_text": r"""
+WITH cut AS (
+    SELECT page_id, url,
+           string_split(regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'),
+               '<br>', ' ', 'g'), '</?(h1|p)>', chr(1), 'g'), chr(1)) AS blocks
+    FROM pages),
+bare AS (
+    SELECT page_id, url,
+           [trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(b, '</?b>', '', 'g'),
+               '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))
+            FOR b IN blocks] AS blocks
+    FROM cut),
+joined AS (
+    SELECT page_id, url, coalesce(array_to_string([b FOR b IN blocks IF b <> ''], chr(10) || chr(10)), '') AS text
+    FROM bare)
+SELECT page_id, url, text, length(text) AS n_chars FROM joined
+""",
+    "op13_hard_negatives": r"""
+WITH vectors AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE) FOR x IN embedding] AS vec
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+    SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS id, a.label = b.label AS alike,
+           list_inner_product(a.vec, b.vec)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+positives AS (
+    SELECT a, anchor_id, b AS positive, id AS positive_id, score AS positive_score FROM scores WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id, b) <= 5),
+ranked AS (
+    SELECT scores.anchor_id, positive_id, positive_score, scores.id AS negative_id, scores.score AS negative_score,
+           row_number() OVER (PARTITION BY scores.a, positive ORDER BY scores.score DESC, scores.id, scores.b) AS rank
+    FROM positives JOIN scores ON positives.a = scores.a AND NOT alike
+     AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 5
 """,
 }
