@@ -56,7 +56,7 @@ def rotated(vectors: np.ndarray) -> np.ndarray:
         out *= sign
         half = 1
         while half < width:
-            pairs = out.reshape(len(out), -1, 2, half)
+            pairs = out.reshape(len(out), width // (2 * half), 2, half)
             out = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2).reshape(len(out), width)
             half *= 2
         out /= np.sqrt(width)
