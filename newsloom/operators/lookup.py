@@ -48,6 +48,7 @@ def lookup_join(
     how: str = "inner",
     null_safe: bool = False,
     limits: Limits = DEFAULT_LIMITS,
+    stored: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to ``table``, which has at most one row per key ``on``.
 
@@ -55,7 +56,8 @@ def lookup_join(
     heavy keys meet their few table rows by broadcast and only the others are shuffled: the result is the
     same, and no key, null included, can fill one task. The facts are computed once and stored for that, and of
     the keys only the heavy ones are. ``table`` is read more than once, so pass an expensive one through
-    ``cut_lineage`` first.
+    ``cut_lineage`` first. With ``stored`` the facts are the scan of a table: they are read again instead of stored again, the keys
+    for the count and the columns that are asked for.
     """
     on = list(on)
 
@@ -69,7 +71,7 @@ def lookup_join(
     if fits(table, limits):
         return join(facts, table, broadcast=True)
 
-    facts = cut_lineage(facts)
+    facts = facts if stored else cut_lineage(facts)
     total = facts.count()
     heavy = facts.groupBy(on).count().filter(F.col("count") * limits.heavy_keys > total)
     heavy = cut_lineage(heavy.select(on))

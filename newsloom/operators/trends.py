@@ -35,3 +35,19 @@ def source_activity(documents: DataFrame) -> DataFrame:
     return documents.groupBy("source", "news_site", domain_of("url").alias("domain_url")).agg(
         F.count("id").alias("count")
     )
+
+
+def changed(counts, added: DataFrame, retired: DataFrame) -> DataFrame:
+    """What ``counts`` (``word_trends`` or ``source_activity``) gains by documents added and loses by documents retired.
+
+    Counts are sums over documents, so the signed counts of every batch add up to those of a recount.
+    """
+    lost = counts(retired).withColumn("count", -F.col("count"))
+    return totals(counts(added).unionByName(lost), empty=F.col("count") != 0)
+
+
+def totals(signed: DataFrame, empty=None) -> DataFrame:
+    """Signed counts added up, without those that come to nothing (or to nothing positive)."""
+    names = [name for name in signed.columns if name != "count"]
+    summed = signed.groupBy(names).agg(F.sum("count").alias("count")).select(signed.columns)
+    return summed.filter(F.col("count") > 0 if empty is None else empty)

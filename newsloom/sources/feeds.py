@@ -1,10 +1,13 @@
 """Landed feed pages to typed documents, and the incremental window over them."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.functions.instants import history_start, parse_instant
+from newsloom.operators.lookup import lookup_join
 from newsloom.sources.schemas import INSTANTS, PAGE, RAW_DOCUMENT
 
 REASON = "reject_reason"
@@ -25,35 +28,70 @@ def read_pages(spark: SparkSession, landing: str, multi_line: bool = False) -> D
     return unnest_pages(reader.json(landing))
 
 
-def landed_pages(spark: SparkSession, landing: str, multi_line: bool = False) -> DataFrame:
-    """All page files under ``landing`` as (results, broken): what is no envelope has its text in ``broken``.
+def landed_pages(spark: SparkSession, landing: str | Sequence[str], multi_line: bool = False) -> DataFrame:
+    """All page files under ``landing``, or these files, as (results, extra, broken, page).
 
     One page per line, or one per file with ``multi_line``. A page is broken if it is not JSON, or has no results,
-    as the body of an error has.
+    as the body of an error has; then ``broken`` says so and ``page`` is its whole text.
     """
-    schema = T.StructType([*PAGE.fields, T.StructField(BROKEN, T.StringType())])
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN)
-    return marked_pages(reader.option("multiLine", multi_line).json(landing))
+    paths = [landing] if isinstance(landing, str) else list(landing)
+    return parsed_pages(spark.read.text(paths, wholetext=multi_line))
 
 
-def marked_pages(pages: DataFrame) -> DataFrame:
-    """Envelopes with their corrupt-record column, those without results marked as broken too."""
-    text = F.coalesce(BROKEN, F.when(F.col("results").isNull(), F.lit("no results")))
-    return pages.select(F.when(text.isNull(), F.col("results")).alias("results"), text.alias(BROKEN))
+def parsed_pages(texts: DataFrame) -> DataFrame:
+    """Texts of pages (value) parsed; blank ones are left out.
+
+    ``extra`` has for each document the fields that the canonical schema lacks, null where there are none.
+    """
+    schema = T.StructType([*PAGE.fields, T.StructField(BROKEN, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    pages = texts.filter(F.trim("value") != "").select("value", F.from_json("value", schema, options).alias("parsed"))
+    results = F.col("parsed.results")
+    reason = F.coalesce(F.col(f"parsed.{BROKEN}"), F.when(results.isNull(), F.lit("no results")))
+    known = [f.name for f in RAW_DOCUMENT.fields]
+    objects = F.try_variant_get(F.try_parse_json("value"), "$.results", "array<map<string,variant>>")
+    beyond = F.transform(objects, lambda fields: F.map_filter(fields, lambda name, _: ~name.isin(known)))
+    extra = F.transform(beyond, lambda fields: F.when(F.size(fields) > 0, F.to_variant_object(fields)))
+    return pages.select(
+        F.when(reason.isNull(), results).alias("results"), F.when(reason.isNull(), extra).alias("extra"),
+        reason.alias(BROKEN), F.when(reason.isNotNull(), F.col("value")).alias("page"),
+    )
 
 
 def broken_pages(pages: DataFrame) -> DataFrame:
-    return pages.filter(F.col(BROKEN).isNotNull()).select(BROKEN)
+    return pages.filter(F.col(BROKEN).isNotNull()).select(BROKEN, "page")
 
 
 def rejected_pages(broken: DataFrame, source: str) -> DataFrame:
-    """Broken pages as rows for the rejects, the first 1000 signs of their text as title."""
+    """Broken pages as rows for the rejects: the first 1000 signs as title, the whole text as page."""
     return broken.select(
         F.lit(source).alias("source"), F.substring(BROKEN, 1, 1000).alias("title"),
-        F.lit("broken page").alias(REASON),
+        F.lit("broken page").alias(REASON), "page",
     )
 
 
+def rescued_fields(pages: DataFrame, source: str) -> DataFrame:
+    """(id, updated_at, fields, source): what documents have beyond the canonical fields, of those that have any."""
+    documents = pages.select(F.explode(F.arrays_zip("results", "extra")).alias("both"))
+    found = documents.filter(F.col("both.extra").isNotNull())
+    return found.select(
+        F.col("both.results.id").alias("id"), parse_instant(F.col("both.results.updated_at")).alias("updated_at"),
+        F.col("both.extra").alias("fields"), F.lit(source).alias("source"),
+    )
+
+
+def listing(spark: SparkSession, landing: str) -> DataFrame:
+    """(path, length, modified_at) of the files under ``landing``; their content is not read."""
+    files = spark.read.format("binaryFile").load(landing)
+    return files.select("path", "length", F.col("modificationTime").alias("modified_at"))
+
+
+def new_files(spark: SparkSession, landing: str, ledger: DataFrame) -> DataFrame:
+    """The files under ``landing`` that the ledger does not have, or has with another length or time."""
+    known = ledger.select("path", "length", "modified_at").distinct()
+    return lookup_join(listing(spark, landing), known, ["path", "length", "modified_at"], "left_anti")
+
+
 def conform(documents: DataFrame) -> DataFrame:
     """Any feed's documents with exactly the canonical raw columns, missing ones null, the id as text."""
     have = set(documents.columns)

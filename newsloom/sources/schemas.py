@@ -57,6 +57,35 @@ RETIRED = T.StructType([
     T.StructField("updated_at", T.TimestampType()),
     T.StructField("source", T.StringType()),
 ])
+REJECTS = T.StructType(
+    DOCUMENT.fields
+    + [T.StructField(name, T.StringType()) for name in ("reject_reason", "page", "run_id")]
+)
+# Which page files a feed has loaded, by what a listing of the landing folder says of them.
+LEDGER = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("modified_at", T.TimestampType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("source", T.StringType()),
+])
+# What pages say of documents beyond the canonical fields.
+RESCUED = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("updated_at", T.TimestampType()),
+    T.StructField("fields", T.VariantType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("source", T.StringType()),
+])
+# Of each bronze file, its lowest and highest key and the bits of its keys' hashes, a bucket of bits a row.
+BRONZE_KEYS = T.StructType([
+    T.StructField("file", T.StringType()),
+    T.StructField("low", T.StringType()),
+    T.StructField("high", T.StringType()),
+    T.StructField("bucket", T.IntegerType()),
+    T.StructField("bits", T.BinaryType()),
+    T.StructField("source", T.StringType()),
+])
 
 # The names of the nested fields in the flat table.
 FLAT_FIELDS = {

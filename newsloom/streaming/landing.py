@@ -1,13 +1,11 @@
 """Page files picked up as they land, merged batch by batch into bronze."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from newsloom.plans.bronze import load_documents
+from newsloom.plans.bronze import load_pages
 from newsloom.plans.warehouse import Warehouse
 from newsloom.sources import feeds
-from newsloom.sources.schemas import PAGE
 
 
 def stream_feed(
@@ -24,19 +22,12 @@ def stream_feed(
         raise ValueError("a repeated batch of another policy would retire its own documents")
 
     def load(pages: DataFrame, batch: int) -> None:
-        pages = feeds.marked_pages(pages)
-        load_documents(
-            Warehouse(pages.sparkSession, warehouse.root), source, feeds.unnest_pages(pages),
-            f"{source} batch {batch}", policy, broken=feeds.broken_pages(pages),
-        )
+        load_pages(Warehouse(pages.sparkSession, warehouse.root), source, feeds.parsed_pages(pages), f"{source} batch {batch}", policy)
 
     pages = (
-        warehouse.spark.readStream.schema(T.StructType([*PAGE.fields, T.StructField(feeds.BROKEN, T.StringType())]))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", feeds.BROKEN)
-        .option("multiLine", multi_line)
+        warehouse.spark.readStream.option("wholetext", multi_line)
         .option("maxFilesPerTrigger", files_per_batch)
-        .json(landing)
+        .text(landing)
     )
     return (
         pages.writeStream.foreachBatch(load)
