@@ -359,3 +359,30 @@ ORACLE = {
         FROM feed GROUP BY ALL""",
 }
 ORACLE["merge_stored"] = ORACLE["merge_history"]
+ORACLE["merge_compacted"] = ORACLE["merge_history"]
+ORACLE["versions_by_index"] = f"""
+    WITH merged AS ({ORACLE["merge_history"]}),
+    oldest AS (
+        SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders WHERE o_orderstatus <> 'P' ORDER BY o_orderdate, o_orderkey LIMIT 20)
+    SELECT id, updated_at FROM merged JOIN oldest USING (id)"""
+ORACLE["trends_by_batch"] = f"""
+    WITH merged AS ({ORACLE["merge_history"]}),
+    worded AS (SELECT CAST(updated_at AS DATE) AS day, unnest({TITLE_WORDS}) AS word FROM merged WHERE is_active)
+    SELECT 'articles' AS source, CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month, word, count(*) AS count
+    FROM worded GROUP BY ALL"""
+ORACLE["activity_by_batch"] = """
+    WITH moved AS (
+        SELECT CASE WHEN page_id % 3 = 0 THEN 'new ' ELSE '' END || regexp_extract(html, 'lang="([a-z]+)"', 1) AS news_site,
+               regexp_extract(url, '(https?://[^/]+)', 1) AS domain_url
+        FROM pages)
+    SELECT 'blogs' AS source, news_site, domain_url, count(*) AS count FROM moved GROUP BY ALL"""
+ORACLE["ledger_runs"] = """
+    WITH landed AS (SELECT (doc_id // 100) % 2 AS part FROM documents)
+    SELECT 'run ' || run AS run_id, count(*) FILTER (part = step) AS merged, count(*) FILTER (part = step) > 0 AS read_files
+    FROM landed, (VALUES (0, 0), (1, -1), (2, 1), (3, -1)) AS runs(run, step) GROUP BY run, step"""
+ORACLE["rescued_fields"] = "SELECT CAST(doc_id AS VARCHAR) AS id, lang, n_chars, source FROM documents"
+ORACLE["versions_read"] = """
+    WITH members AS (
+        SELECT 'part ' || n_nationkey % 3 AS source, n_name AS news_site, CAST(n_regionkey AS BIGINT) AS count FROM nation)
+    SELECT 'before' AS version, * FROM members
+    UNION ALL SELECT 'latest', source, news_site, CASE WHEN source = 'part 1' THEN count + 100 ELSE count END FROM members"""

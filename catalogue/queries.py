@@ -17,7 +17,8 @@ from newsloom.operators import content, dimensions, entities, merge, sentiment,
 from newsloom.operators.audit import Audit
 from newsloom.operators.flatten import flatten_documents
 from newsloom.operators.lookup import lookup_join
-from newsloom.plans import bronze
+from newsloom.plans import bronze, silver
+from newsloom.plans.compaction import compact
 from newsloom.plans.warehouse import Warehouse
 from newsloom.session import cut_lineage, shared_folder
 from newsloom.sources import feeds
@@ -297,18 +298,129 @@ def merge_history(spark, sf_dir):
     )
 
 
-@query
-def merge_stored(spark, sf_dir):
-    """The same merge through the load: three batches of orders into a new warehouse."""
-    warehouse = Warehouse(spark, scratch(spark))
+def order_batches(spark, sf_dir) -> list[DataFrame]:
+    """Three batches of orders as raw documents: old versions, current ones, and those that arrive."""
     stored = stored_orders(spark, sf_dir)
     stamp = F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    for run, batch in enumerate((stored.filter("NOT is_active"), stored.filter("is_active"), arriving_orders(spark, sf_dir))):
-        raw = batch.select("id", "title", stamp.alias("published_at"), stamp.alias("updated_at"))
+    batches = (stored.filter("NOT is_active"), stored.filter("is_active"), arriving_orders(spark, sf_dir))
+    return [batch.select("id", "title", stamp.alias("published_at"), stamp.alias("updated_at")) for batch in batches]
+
+
+def loaded(spark, sf_dir, after=None) -> Warehouse:
+    """A new warehouse with the batches of orders; ``after`` each of them something else is done."""
+    warehouse = Warehouse(spark, scratch(spark))
+    for run, raw in enumerate(order_batches(spark, sf_dir)):
         bronze.load_documents(warehouse, "articles", raw, f"run {run}")
+        if after:
+            after(warehouse, f"run {run}")
+    return warehouse
+
+
+@query
+def merge_stored(spark, sf_dir):
+    """The same merge through the load: three batches of orders into a new warehouse."""
+    warehouse = loaded(spark, sf_dir)
     return _dated(warehouse.table("bronze", "articles").select("id", "title", "updated_at", "is_active"))
 
 
+@query
+def merge_compacted(spark, sf_dir):
+    """The merged orders as they are stored after a compaction, which leaves nothing in the table of retired versions."""
+    warehouse = loaded(spark, sf_dir)
+    compact(warehouse, "articles", "compaction", files_per_month=1)
+    rows = _dated(warehouse.stored("bronze", "articles").select("id", "title", "updated_at", "is_active"))
+    return rows.unionByName(warehouse.stored("retired").select("id", F.lit("retired").alias("title")), allowMissingColumns=True)
+
+
+@query
+def versions_by_index(spark, sf_dir):
+    """The stored versions of the twenty oldest orders, read from the files that the key index names."""
+    warehouse = loaded(spark, sf_dir)
+    oldest = order_batches(spark, sf_dir)[1].orderBy("updated_at", F.col("id").cast("long")).limit(20)
+    arrived = cut_lineage(oldest.select(F.lit("articles").alias("source"), "id"))
+    return _dated(bronze.stored_versions(warehouse, "articles", arrived).select("id", "updated_at"))
+
+
+@query
+def trends_by_batch(spark, sf_dir):
+    """Trends kept up to date batch by batch with signed counts, which must be those of a recount."""
+    warehouse = loaded(spark, sf_dir, lambda w, run: silver.refresh_trends(w, "articles", run))
+    return warehouse.table("trends", "articles")
+
+
+@query
+def activity_by_batch(spark, sf_dir):
+    """Activity of sites kept up to date: three feeds of pages, every third page with a new version of another site."""
+    warehouse = Warehouse(spark, scratch(spark))
+    pages = page_feed(spark, sf_dir).select(
+        "id", "url", "news_site", F.lit("2025-01-01T00:00:00Z").alias("updated_at"), F.lit("page").alias("title")
+    )
+    moved = pages.filter("id % 3 = 0").withColumns({
+        "news_site": F.concat(F.lit("new "), "news_site"), "updated_at": F.lit("2025-02-01T00:00:00Z"),
+    })
+    for run, batch in enumerate((pages.filter("id % 2 = 0"), pages.filter("id % 2 = 1"), moved)):
+        bronze.load_documents(warehouse, "blogs", batch, f"run {run}")
+        silver.refresh_trends(warehouse, "blogs", f"run {run}")
+    return warehouse.table("sources", "blogs")
+
+
+@query
+def ledger_runs(spark, sf_dir):
+    """Documents landed as pages in two parts and loaded four times: how many documents each run took, and whether it read any file."""
+    warehouse, landing = Warehouse(spark, scratch(spark)), scratch(spark)
+    documents = articles(spark, sf_dir).select("id", "title", "url", F.lit("2025-01-01T00:00:00Z").alias("updated_at"))
+    pages = documents.groupBy(F.floor(F.col("id").cast("long") / 100).alias("page")).agg(
+        F.collect_list(F.struct("id", "title", "url", "updated_at")).alias("results")
+    )
+    for run, part in enumerate((0, None, 1, None)):
+        if part is not None:
+            found = pages.filter(F.col("page") % 2 == part)
+            found.select("results").write.mode("append").json(landing)
+        bronze.load_feed(warehouse, "articles", landing, f"run {run}")
+    merged = warehouse.table("audit").filter("stage = 'merge'").select("run_id", F.col("record_count").alias("merged"))
+    runs = warehouse.stored("ledger", "articles").select("run_id", F.lit(True).alias("read")).distinct()
+    joined = merged.join(F.broadcast(runs), "run_id", "left")  # a row for each run
+    return joined.select("run_id", "merged", F.coalesce("read", F.lit(False)).alias("read_files"))
+
+
+@query
+def rescued_fields(spark, sf_dir):
+    """Fields that the schema lacks, kept as variants: the language and length of documents from their pages."""
+    warehouse, landing = Warehouse(spark, scratch(spark)), scratch(spark)
+    page = table(spark, sf_dir, "documents").select(
+        F.array(F.struct(
+            F.col("doc_id").alias("id"), F.lit("2025-01-01T00:00:00Z").alias("updated_at"),
+            F.col("lang").alias("language"), F.struct("n_chars", "source").alias("size"),
+        )).alias("results")
+    )
+    page.write.json(landing)
+    bronze.load_feed(warehouse, "reports", landing, "run")
+    return warehouse.table("rescued", "reports").select(
+        "id", F.variant_get("fields", "$.language", "string").alias("lang"),
+        F.variant_get("fields", "$.size.n_chars", "long").alias("n_chars"), F.variant_get("fields", "$.size.source", "string").alias("source"),
+    )
+
+
+@query
+def versions_read(spark, sf_dir):
+    """One partition of three is replaced: what readers of the version before and of the latest one see."""
+    warehouse = Warehouse(spark, scratch(spark))
+    members = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("part "), F.pmod("n_nationkey", F.lit(3))).alias("source"), F.col("n_name").alias("news_site"),
+        F.lit("").alias("domain_url"), F.col("n_regionkey").cast("long").alias("count"),
+    )
+    first = warehouse.change()
+    first.append(members, "sources", ["source"])
+    before = first.commit().version
+    second = warehouse.change()
+    second.remove("sources", second.of("sources", "source=part 1/"))
+    second.append(members.filter("source = 'part 1'").withColumn("count", F.col("count") + 100), "sources", ["source"])
+    second.commit()
+    read = [warehouse.at(v).stored("sources").select(F.lit(name).alias("version"), "source", "news_site", "count")
+            for name, v in (("before", before), ("latest", None))]
+    return read[0].unionByName(read[1])
+
+
 @query
 def union_missing_columns(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(

@@ -5,8 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key sets one bit for each of HASHES hashes, in BUCKETS buckets of BITS bits each: two million bits a hash and file.
-HASHES, BUCKETS, BITS = 2, 64, 32_768
+# A key sets one bit for each of HASHES hashes. A file has SIZES[i] buckets of BITS bits for each, the fewest that give SPARE bits a key.
+HASHES, BITS, SIZES, SPARE = 2, 32_768, (1, 8, 64), 16
 
 
 def ordered(key: Column) -> Column:
@@ -15,23 +15,30 @@ def ordered(key: Column) -> Column:
 
 
 def bits_of(rows: DataFrame, key: str, *columns: str) -> DataFrame:
-    """``columns``, key, which, bucket, position: the bits that a key sets, one row each."""
+    """``columns``, key, size, which, bucket, position: the bits that a key sets in a file of ``size`` buckets, a row each."""
     which = F.explode(F.sequence(F.lit(0), F.lit(HASHES - 1))).alias("which")
-    hashed = rows.select(*columns, key, which).withColumn("__bit", F.pmod(F.xxhash64(key, "which"), F.lit(BUCKETS * BITS)))
+    hashed = rows.select(*columns, key, "size", which)
+    hashed = hashed.withColumn("__bit", F.pmod(F.xxhash64(key, "which"), F.col("size").cast("long") * BITS))
     return hashed.select(
-        *columns, key, "which", (F.col("which") * BUCKETS + F.floor(F.col("__bit") / BITS)).cast("int").alias("bucket"),
+        *columns, key, "size", "which", (F.col("which") * F.col("size") + F.floor(F.col("__bit") / BITS)).cast("int").alias("bucket"),
         F.pmod("__bit", F.lit(BITS)).cast("long").alias("position"),
     )
 
 
 def key_index(rows: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
-    """``by``, low, high, bucket, bits: what the files named by ``by`` say of their keys.
+    """``by``, low, high, size, bucket, bits: what the files named by ``by`` say of their keys.
 
     The bits are gathered per task before the shuffle, 4096 bytes for each bucket that a file has keys in.
     """
     by = list(by)
-    ranges = rows.groupBy(by).agg(F.min(ordered(F.col(key))).alias("low"), F.max(ordered(F.col(key))).alias("high"))
-    bits = bits_of(rows, key, *by).groupBy(*by, "bucket").agg(F.bitmap_construct_agg("position").alias("bits"))
+    size = F.lit(SIZES[-1])
+    for smaller in reversed(SIZES[:-1]):
+        size = F.when(F.col("n") * SPARE <= smaller * BITS, F.lit(smaller)).otherwise(size)
+    ranges = rows.groupBy(by).agg(
+        F.min(ordered(F.col(key))).alias("low"), F.max(ordered(F.col(key))).alias("high"), F.count(F.lit(1)).alias("n")
+    ).withColumn("size", size).drop("n")
+    sized = rows.join(ranges.select(*by, "size"), by)
+    bits = bits_of(sized, key, *by).groupBy(*by, "bucket").agg(F.bitmap_construct_agg("position").alias("bits"))
     return bits.join(ranges, by)
 
 
@@ -45,10 +52,13 @@ def holding(index: DataFrame, keys: DataFrame, key: str, file: str) -> DataFrame
 
     The keys are broadcast, so their number must be bounded by the caller.
     """
-    wanted = bits_of(keys, key).withColumn("__key", ordered(F.col(key))).withColumnRenamed("bucket", "__bucket")
+    sized = keys.select(key, F.explode(F.array(*[F.lit(size) for size in SIZES])).alias("size"))
+    wanted = bits_of(sized, key).withColumn("__key", ordered(F.col(key)))
+    wanted = wanted.withColumnsRenamed({"bucket": "__bucket", "size": "__size"})
     met = index.join(
         F.broadcast(wanted),
-        (F.col("bucket") == F.col("__bucket")) & (F.col("__key") >= F.col("low")) & (F.col("__key") <= F.col("high")),
+        (F.col("bucket") == F.col("__bucket")) & (F.col("size") == F.col("__size"))
+        & (F.col("__key") >= F.col("low")) & (F.col("__key") <= F.col("high")),
     ).filter(has_bit(F.col("bits"), F.col("position")))
     whole = met.groupBy(file, "__key").agg(F.count_distinct("which").alias("n")).filter(F.col("n") == HASHES)
     return whole.select(file).distinct()

@@ -36,6 +36,12 @@ def flat_documents(warehouse: Warehouse, source: str) -> DataFrame:
     return flatten_documents(warehouse.table("bronze", source).drop(MONTH))
 
 
+def named(file: str) -> str:
+    """What the key index calls a bronze file: its month and name, as one write gives one name in several months."""
+    *_, month, name = file.split("/")
+    return f"{month.partition('=')[2]}/{name}"
+
+
 def files_with(
     warehouse: Warehouse, source: str, ids: DataFrame, files: Sequence[str] | None = None, most: int = INDEXED_KEYS
 ) -> list[str]:
@@ -51,7 +57,7 @@ def files_with(
     found = keys.holding(index, ids, "id", "file").select("file", F.lit(True).alias("may"))
     told = index.select("file").distinct().join(F.broadcast(found), "file", "left")
     may = {row["file"]: row["may"] for row in told.collect()}  # a row for each file
-    return [file for file in files if may.get(file.rpartition("/")[2], True)]
+    return [file for file in files if may.get(named(file), True)]
 
 
 def stored_versions(
@@ -66,7 +72,8 @@ def stored_versions(
 def index_files(warehouse: Warehouse, change: Change, files: Sequence[str]) -> None:
     """Note the keys of new bronze files."""
     if files:
-        rows = warehouse.files("bronze", files).select("source", "id", F.col("_metadata.file_name").alias("file"))
+        name = F.concat_ws("/", MONTH, F.col("_metadata.file_name"))
+        rows = warehouse.files("bronze", files).select("source", "id", name.alias("file"))
         index = keys.key_index(rows, "id", ["source", "file"]).select(BRONZE_KEYS.fieldNames())
         change.append(tables.few_files(index, "source"), "bronze_keys", ["source"])
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 
 from newsloom.operators.audit import Audit
 from newsloom.operators.lookup import DEFAULT_LIMITS, Limits, lookup_join
-from newsloom.plans.bronze import index_files, read_by
+from newsloom.plans.bronze import index_files, named, read_by
 from newsloom.plans.warehouse import Warehouse
 from newsloom.session import dropping
 from newsloom.sources import tables
@@ -13,10 +13,6 @@ from newsloom.sources.schemas import BRONZE, BRONZE_PARTITIONS, MONTH
 FILES_PER_MONTH = 4
 
 
-def month_of(file: str) -> str:
-    return next(part.partition("=")[2] for part in file.split("/") if part.startswith(f"{MONTH}="))
-
-
 def months_with_retired(warehouse: Warehouse, source: str, limits: Limits = DEFAULT_LIMITS) -> set[str]:
     """The months in which versions were retired: one join of keys, no other column is read."""
     retired = warehouse.stored("retired", source).distinct()
@@ -42,7 +38,7 @@ def compact(
         within = f"source={source}/"
         files: dict[str, list[str]] = {}
         for file in change.of("bronze", within):
-            files.setdefault(month_of(file), []).append(file)
+            files.setdefault(named(file).partition("/")[0], []).append(file)
         crowded = {month for month, listed in files.items() if len(listed) > files_per_month}
         months = sorted(crowded | months_with_retired(warehouse, source, limits))
         if not months:
@@ -64,5 +60,5 @@ def compact(
 
 
 def index_without(index: DataFrame, files: list[str]) -> DataFrame:
-    gone = index.sparkSession.createDataFrame([(file.rpartition("/")[2],) for file in files], "file string")
+    gone = index.sparkSession.createDataFrame([(named(file),) for file in files], "file string")
     return lookup_join(index, gone, ["file"], "left_anti", stored=True)

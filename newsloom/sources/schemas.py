@@ -82,6 +82,7 @@ BRONZE_KEYS = T.StructType([
     T.StructField("file", T.StringType()),
     T.StructField("low", T.StringType()),
     T.StructField("high", T.StringType()),
+    T.StructField("size", T.IntegerType()),
     T.StructField("bucket", T.IntegerType()),
     T.StructField("bits", T.BinaryType()),
     T.StructField("source", T.StringType()),
