@@ -2,7 +2,7 @@
 
 Equal texts form a group, and groups stay together. Every group has a vector (bytes, words, rows). Groups are gathered
 into units by a hash of the text, ``UNITS`` for each shard, so that the units are as many whatever the table; a group
-that alone exceeds a unit's share of the rows, bytes or words is a unit of its own, and only if it exceeds a shard's whole
+that alone exceeds a unit's share of the rows, bytes or words is a unit of its own, and only if its bytes exceed a shard's whole
 share it is cut by row into parts below that, as no shard could take it with near equal sizes. Spark sums up the
 units' vectors; only those sums, a bounded multiple of ``UNITS`` * shards, reach the driver. Units are placed largest
 first, each on the shard where the dot product of its vector with the residual capacity is highest, among the shards
@@ -71,7 +71,8 @@ def shard(
     share = F.greatest(*[F.col(c) / F.lit(float(max(total[c] or 0, 1))) for c in ("b", "w", "n")])
     large = rows.groupBy(group).agg(*sums).filter(share * limit > 1).select(
         *[F.col(c).alias(f"_{c}") for c in group],
-        F.ceil(share * shards).cast("int").alias("__parts"), F.ceil(share * limit).cast("int").alias("__slices"),
+        F.ceil(F.col("b") / F.lit(float(max(total["b"] or 0, 1))) * shards).cast("int").alias("__parts"),
+        F.ceil(share * limit).cast("int").alias("__slices"),
     )
     large = cut_lineage(large)  # fewer than three times units * shards
     named = rows.join(F.broadcast(large), [F.col(c) == F.col(f"_{c}") for c in group], "left")

@@ -39,5 +39,15 @@ def test_hot_text(spark):
     assert loads.max() - loads.min() <= 100
 
 
+def test_many_rows_of_few_bytes_stay_together(spark):
+    text = "if(id % 3 = 0, '', repeat(concat(id, ' words of a text that has some weight '), 30))"
+    frame = spark.range(6000).selectExpr("id AS doc_id", f"{text} AS text")
+    found = shard(frame, ["doc_id", "text"]).toPandas()
+    assert sorted(found["doc_id"]) == list(range(6000))
+    assert found[found["text"] == ""]["shard"].nunique() == 1
+    loads = found.groupby("shard")["size"].sum()
+    assert loads.max() - loads.min() <= 2 * found["size"].max()
+
+
 def test_empty_table(spark):
     assert shard(spark.createDataFrame([], "doc_id long, text string"), ["doc_id"]).count() == 0
