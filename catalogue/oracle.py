@@ -386,3 +386,19 @@ ORACLE["versions_read"] = """
         SELECT 'part ' || n_nationkey % 3 AS source, n_name AS news_site, CAST(n_regionkey AS BIGINT) AS count FROM nation)
     SELECT 'before' AS version, * FROM members
     UNION ALL SELECT 'latest', source, news_site, CASE WHEN source = 'part 1' THEN count + 100 ELSE count END FROM members"""
+ORACLE["topics_continued"] = """
+    WITH listed AS (
+        SELECT vec_id, label, unnest(range(len(embedding))) AS term, unnest(embedding) AS x FROM embeddings WHERE label < 4),
+    stored AS (SELECT label AS topic, term, avg(abs(x)::DOUBLE) AS weight FROM listed WHERE vec_id % 2 = 0 GROUP BY ALL),
+    fresh AS (SELECT (label + 1) % 4 AS topic, term, avg(abs(x)::DOUBLE) AS weight FROM listed WHERE vec_id % 2 = 1 GROUP BY ALL),
+    alike AS (
+        SELECT fresh.topic AS t, stored.topic AS s,
+               sum(fresh.weight * stored.weight) / sqrt(sum(fresh.weight ** 2) * sum(stored.weight ** 2)) AS l
+        FROM fresh JOIN stored USING (term) GROUP BY ALL),
+    best AS (
+        SELECT a.s AS n0, b.s AS n1, c.s AS n2, d.s AS n3
+        FROM alike a, alike b, alike c, alike d
+        WHERE a.t = 0 AND b.t = 1 AND c.t = 2 AND d.t = 3 AND a.s NOT IN (b.s, c.s, d.s) AND b.s NOT IN (c.s, d.s) AND c.s <> d.s
+        ORDER BY a.l + b.l + c.l + d.l DESC LIMIT 1)
+    SELECT CAST(topic AS BIGINT) AS topic, CAST(number AS BIGINT) AS number
+    FROM (SELECT unnest([0, 1, 2, 3]) AS topic, unnest([n0, n1, n2, n3]) AS number FROM best)"""

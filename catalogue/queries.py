@@ -556,6 +556,22 @@ def topic_vectors(spark, sf_dir):
     return weighted.select("doc_id", F.get(words, F.col("at")).alias("term"), F.round("weight", 6).alias("weight"))
 
 
+@query
+def topics_continued(spark, sf_dir):
+    """The numbers that topics of a refit take over: vectors of four labels as term weights, those of other vectors in another order."""
+    listed = table(spark, sf_dir, "embeddings").filter("label < 4").select(
+        "vec_id", "label", F.posexplode("embedding").alias("term", "x")
+    )
+
+    def weights(rows, topic):
+        return rows.groupBy(topic.cast("long").alias("topic"), "term").agg(F.avg(F.abs("x").cast("double")).alias("weight"))
+
+    stored = weights(listed.filter("vec_id % 2 = 0"), F.col("label"))
+    new = cut_lineage(weights(listed.filter("vec_id % 2 = 1"), (F.col("label") + 1) % 4))
+    numbers = topics.lasting_numbers(new, cut_lineage(stored), 4)
+    return spark.createDataFrame(list(enumerate(numbers)), "topic long, number long")
+
+
 @named("sentiment")
 def sentiment_score(spark, sf_dir):
     scored = sentiment.sentiment_scores(articles(spark, sf_dir), lexicon(spark, sf_dir))

@@ -11,7 +11,7 @@ from newsloom.functions.words import clean_summary, domain_of
 from newsloom.operators.entities import LABELS, entities
 from newsloom.operators.lookup import DEFAULT_LIMITS, Limits
 from newsloom.operators.sentiment import sentiment_scores
-from newsloom.operators.topics import assign_topics, fit_topics
+from newsloom.operators.topics import TopicModel, assign_topics, fit_topics
 from newsloom.sources.schemas import ANALYSIS, DOCUMENT_KEY
 
 TEXT_COLUMNS = ("source", "id", "title", "summary", "news_site", "url")
@@ -53,10 +53,14 @@ def enriched(documents: DataFrame, score: Feature, tag: Feature) -> DataFrame:
 
 def content_analysis(
     documents: DataFrame, source: str, score: Feature, tag: Feature,
-    stop_words: Iterable[str] = SUMMARY_STOP_WORDS,
+    stop_words: Iterable[str] = SUMMARY_STOP_WORDS, model: TopicModel | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """The analysis of one feed's documents and the top terms of its topics (none without any term)."""
+    """The analysis of one feed's documents and the top terms of its topics (none without any term).
+
+    ``model`` is fitted here unless it is given.
+    """
     own = documents.filter(F.col("source") == source)
-    model = fit_topics(own, stop_words)
+    if model is None:
+        model = fit_topics(own, stop_words)
     table = enriched(own, score, tag).join(assign_topics(model, own), list(DOCUMENT_KEY), "left")
     return table.select(ANALYSIS.fieldNames()), model.lda and model.top_terms(source)

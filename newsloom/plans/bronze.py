@@ -187,8 +187,15 @@ def load_pages(
 ) -> None:
     """Load parsed pages, which are stored once and then read for their documents, broken pages and rescued fields."""
     with dropping(warehouse.spark):
-        pages = cut_lineage(pages)
-        load_documents(
-            warehouse, source, feeds.unnest_pages(pages), run_id, policy, limits, since, feeds.broken_pages(pages),
-            feeds.rescued_fields(pages, source), loaded,
-        )
+        load_stored_pages(warehouse, source, cut_lineage(pages), run_id, policy, limits, since, loaded)
+
+
+def load_stored_pages(
+    warehouse: Warehouse, source: str, pages: DataFrame, run_id: str, policy: str = "history",
+    limits: Limits = DEFAULT_LIMITS, since: datetime | None = None, loaded: DataFrame | None = None,
+) -> None:
+    """``load_pages`` of pages that may be read more than once."""
+    load_documents(
+        warehouse, source, feeds.unnest_pages(pages), run_id, policy, limits, since, feeds.broken_pages(pages),
+        feeds.rescued_fields(pages, source), loaded,
+    )

@@ -5,11 +5,13 @@ from collections.abc import Iterable
 from functools import partial
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from newsloom.functions.stopwords import SUMMARY_STOP_WORDS, TITLE_STOP_WORDS
 from newsloom.operators.audit import Audit
 from newsloom.operators.content import Feature, content_analysis
 from newsloom.operators.lookup import DEFAULT_LIMITS, Limits, lookup_join
+from newsloom.operators.topics import continued, fit_topics
 from newsloom.operators.trends import changed, source_activity, totals, word_trends
 from newsloom.plans.bronze import active_documents, files_with
 from newsloom.plans.warehouse import Warehouse
@@ -99,14 +101,24 @@ def refresh_analysis(
 ) -> None:
     """Rebuild the feed's part of ``analysis`` and ``topic_terms``; other feeds stay as they are.
 
+    A refit numbers its topics as it comes. Those alike to topics of before take over their numbers, so that a number, and the
+    key that it has in the topic dimension, goes on meaning the same topic; the others get numbers never used.
+
     ``score`` and ``tag`` are usually ``table_features`` of a lexicon and a gazetteer.
     """
     with Audit(warehouse.spark, warehouse.path("audit"), run_id, f"analysis {source}") as audit, dropping(warehouse.spark):
-        analysis, top_terms = content_analysis(
-            active_documents(warehouse, source), source, score, tag, stop_words
-        )
+        documents = active_documents(warehouse, source)
+        stored = cut_lineage(warehouse.table("topic_weights", source))
+        model = continued(fit_topics(documents, stop_words), stored, source)
+        analysis, top_terms = content_analysis(documents, source, score, tag, stop_words, model)
         audit.stage("analysis", _replace(warehouse, audit, "analysis", source, analysis))
         if top_terms is not None:
             overwrite_partitions(top_terms, warehouse.path("topic_terms"))
+            gone = stored.filter(~F.col("topic").isin(model.numbers))
+            weights = model.weights(source).unionByName(gone)
+            change = warehouse.change([f"topic_weights/source={source}/"])
+            change.remove("topic_weights", change.of("topic_weights", f"source={source}/"))
+            change.append(few_files(weights, "source"), "topic_weights", ["source"])
+            change.commit()
         else:
             clear_partition(warehouse.spark, warehouse.path("topic_terms"), "source", source)

@@ -23,6 +23,7 @@ SCHEMAS = {
     "trends": schemas.TRENDS,
     "sources": schemas.ACTIVITY,
     "topic_terms": schemas.TOPIC_TERMS,
+    "topic_weights": schemas.TOPIC_WEIGHTS,
     "dim_news_source": schemas.DIM_NEWS_SOURCE,
     "dim_topic": schemas.DIM_TOPIC,
     "audit": schemas.AUDIT,

@@ -41,11 +41,13 @@ def landed_pages(spark: SparkSession, landing: str | Sequence[str], multi_line:
 def parsed_pages(texts: DataFrame) -> DataFrame:
     """Texts of pages (value) parsed; blank ones are left out.
 
-    ``extra`` has for each document the fields that the canonical schema lacks, null where there are none.
+    ``extra`` has for each document the fields that the canonical schema lacks, null where there are none. Other columns
+    of ``texts`` stay.
     """
+    others = [name for name in texts.columns if name != "value"]
     schema = T.StructType([*PAGE.fields, T.StructField(BROKEN, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
-    pages = texts.filter(F.trim("value") != "").select("value", F.from_json("value", schema, options).alias("parsed"))
+    pages = texts.filter(F.trim("value") != "").select(*others, "value", F.from_json("value", schema, options).alias("parsed"))
     results = F.col("parsed.results")
     reason = F.coalesce(F.col(f"parsed.{BROKEN}"), F.when(results.isNull(), F.lit("no results")))
     known = [f.name for f in RAW_DOCUMENT.fields]
@@ -53,7 +55,7 @@ def parsed_pages(texts: DataFrame) -> DataFrame:
     beyond = F.transform(objects, lambda fields: F.map_filter(fields, lambda name, _: ~name.isin(known)))
     extra = F.transform(beyond, lambda fields: F.when(F.size(fields) > 0, F.to_variant_object(fields)))
     return pages.select(
-        F.when(reason.isNull(), results).alias("results"), F.when(reason.isNull(), extra).alias("extra"),
+        *others, F.when(reason.isNull(), results).alias("results"), F.when(reason.isNull(), extra).alias("extra"),
         reason.alias(BROKEN), F.when(reason.isNotNull(), F.col("value")).alias("page"),
     )
 

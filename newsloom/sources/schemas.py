@@ -135,6 +135,13 @@ TOPIC_TERMS = T.StructType([
     T.StructField("topic", T.LongType()),
     T.StructField("top_terms", T.ArrayType(T.StringType())),
 ])
+# The terms of every topic that a feed has ever had, as of the last model it was in.
+TOPIC_WEIGHTS = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("topic", T.LongType()),
+    T.StructField("term", T.StringType()),
+    T.StructField("weight", T.DoubleType()),
+])
 DIM_NEWS_SOURCE = T.StructType([
     T.StructField("source_id", T.LongType()),
     T.StructField("name", T.StringType()),

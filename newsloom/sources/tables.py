@@ -1,5 +1,6 @@
 """Parquet tables: scans, partitioned sinks and staged replacement."""
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,6 +86,25 @@ def append(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+def append_aside(df: DataFrame, path: str) -> None:
+    """Append to an unpartitioned table that others append to at the same time.
+
+    Spark's writers share a folder for unfinished files within the table and the first to end removes it, so the files are
+    written beside the table and moved in.
+    """
+    spark = df.sparkSession
+    beside = f"{path}__{uuid.uuid4().hex}"
+    df.write.parquet(beside)
+    source, files = _path(spark, beside)
+    target, _ = _path(spark, path)
+    files.mkdirs(target)
+    for status in files.listStatus(source):
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")):
+            _rename(files, status.getPath(), _path(spark, f"{path}/{name}")[0])
+    files.delete(source, True)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Write ``df`` beside ``path`` and swap it in, so that ``df`` may read ``path`` itself.
 
