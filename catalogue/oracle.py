@@ -402,3 +402,12 @@ ORACLE["topics_continued"] = """
         ORDER BY a.l + b.l + c.l + d.l DESC LIMIT 1)
     SELECT CAST(topic AS BIGINT) AS topic, CAST(number AS BIGINT) AS number
     FROM (SELECT unnest([0, 1, 2, 3]) AS topic, unnest([n0, n1, n2, n3]) AS number FROM best)"""
+ORACLE["analysis_row"] = f"""
+    WITH analysed AS ({ORACLE["content_analysis"]}),
+    checked AS ({ORACLE["lda_topics_checked"]})
+    SELECT analysed.*, mass, no_topic, true AS largest FROM analysed JOIN checked ON id = CAST(doc_id AS VARCHAR)"""
+ORACLE["topic_weights_checked"] = f"""
+    WITH {DOCUMENT_TERMS},
+    kept AS (SELECT term FROM frequencies ORDER BY total DESC, term LIMIT 1000)
+    SELECT topic, count(*) AS n_terms, count(*) AS n_known, CAST(1 AS DOUBLE) AS total
+    FROM kept, (SELECT unnest(range(5)) AS topic) GROUP BY topic"""

@@ -594,6 +594,31 @@ def content_analysis(spark, sf_dir):
     })
 
 
+@query
+def analysis_row(spark, sf_dir):
+    """The whole analysis table as the job makes it; of the topics, what must hold of any model."""
+    score, tag = content.table_features(lexicon(spark, sf_dir), gazetteer(spark, sf_dir))
+    found, _ = content.content_analysis(articles(spark, sf_dir), "articles", score, tag)
+    mass = F.aggregate("topic_distribution", F.lit(0.0), lambda total, share: total + share)
+    largest = F.get("topic_distribution", F.col("topic").cast("int")) == F.array_max("topic_distribution")
+    return found.withColumns({
+        "sentiment_score": F.round("sentiment_score", 6), "mass": F.round(mass, 6), "no_topic": F.col("topic").isNull(),
+        "largest": F.coalesce(largest, F.lit(True)), **{name: F.array_join(name, "|") for name in entities.LABELS.values()},
+    }).drop("topic_distribution", "topic")
+
+
+@query
+def topic_weights_checked(spark, sf_dir):
+    """Of each topic, the terms it weighs, how many of them are in the vocabulary, and the sum of the weights."""
+    documents = summaries(spark, sf_dir)
+    weights = topics.fit_topics(documents, iterations=2).weights("articles")
+    words = terms.vocabulary(documents).select("term", F.lit(1).alias("known"))
+    joined = lookup_join(weights, cut_lineage(words), ["term"], "left")
+    return joined.groupBy("topic").agg(
+        F.count("*").alias("n_terms"), F.count("known").alias("n_known"), F.round(F.sum("weight"), 6).alias("total")
+    )
+
+
 # Trends
 
 

@@ -1,6 +1,6 @@
 """The content-analysis table: text features, sentiment, entities and topics of each document."""
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -30,15 +30,15 @@ def table_features(
     )
 
 
-def enriched(documents: DataFrame, score: Feature, tag: Feature) -> DataFrame:
-    """Documents with clean summary, domain, sentiment and entities: everything but the topics.
+def enriched(documents: DataFrame, score: Feature, tag: Feature, keep: Sequence[str] = ()) -> DataFrame:
+    """Documents with clean summary, domain, sentiment and entities: everything but the topics. Columns ``keep`` stay.
 
     The features come partitioned by document key or are small, so the texts are shuffled at most once.
     Without a match the score is 0 and the entity lists are empty.
     """
     key = list(DOCUMENT_KEY)
     texts = documents.select(*TEXT_COLUMNS)
-    cleaned = texts.withColumn("clean_summary", clean_summary("summary"))
+    cleaned = documents.select(*TEXT_COLUMNS, *keep).withColumn("clean_summary", clean_summary("summary"))
     empty = F.array().cast("array<string>")
     return (
         cleaned.withColumn("domain_url", domain_of("url")).drop("url")
@@ -57,10 +57,11 @@ def content_analysis(
 ) -> tuple[DataFrame, DataFrame | None]:
     """The analysis of one feed's documents and the top terms of its topics (none without any term).
 
-    ``model`` is fitted here unless it is given.
+    ``model`` is fitted here unless it is given. Topics are told in the pass that reads the texts.
     """
     own = documents.filter(F.col("source") == source)
     if model is None:
         model = fit_topics(own, stop_words)
-    table = enriched(own, score, tag).join(assign_topics(model, own), list(DOCUMENT_KEY), "left")
+    topical = assign_topics(model, own, TEXT_COLUMNS)
+    table = enriched(topical, score, tag, ("topic_distribution", "topic"))
     return table.select(ANALYSIS.fieldNames()), model.lda and model.top_terms(source)
