@@ -25,21 +25,19 @@ def bits_of(rows: DataFrame, key: str, *columns: str) -> DataFrame:
     )
 
 
-def key_index(rows: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
+def key_index(rows: DataFrame, key: str, by: Sequence[str], keys_per_file: float) -> DataFrame:
     """``by``, low, high, size, bucket, bits: what the files named by ``by`` say of their keys.
 
-    The bits are gathered per task before the shuffle, 4096 bytes for each bucket that a file has keys in.
+    A row for each bucket of a file, with the lowest and highest key of those that set bits there. Files have as many
+    buckets as ``keys_per_file`` asks for; one that holds more keys is named in vain more often, and never left out. Bits are gathered
+    per task before the shuffle, 4096 bytes for each bucket that a file has keys in.
     """
-    by = list(by)
-    size = F.lit(SIZES[-1])
-    for smaller in reversed(SIZES[:-1]):
-        size = F.when(F.col("n") * SPARE <= smaller * BITS, F.lit(smaller)).otherwise(size)
-    ranges = rows.groupBy(by).agg(
-        F.min(ordered(F.col(key))).alias("low"), F.max(ordered(F.col(key))).alias("high"), F.count(F.lit(1)).alias("n")
-    ).withColumn("size", size).drop("n")
-    sized = rows.join(ranges.select(*by, "size"), by)
-    bits = bits_of(sized, key, *by).groupBy(*by, "bucket").agg(F.bitmap_construct_agg("position").alias("bits"))
-    return bits.join(ranges, by)
+    size = next((size for size in SIZES if keys_per_file * SPARE <= size * BITS), SIZES[-1])
+    bits = bits_of(rows.withColumn("size", F.lit(size)), key, *by)
+    return bits.groupBy(*by, "size", "bucket").agg(
+        F.min(ordered(F.col(key))).alias("low"), F.max(ordered(F.col(key))).alias("high"),
+        F.bitmap_construct_agg("position").alias("bits"),
+    )
 
 
 def has_bit(bits: Column, position: Column) -> Column:

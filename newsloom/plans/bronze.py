@@ -69,12 +69,12 @@ def stored_versions(
     return lookup_join(named, arrived, list(DOCUMENT_KEY), "left_semi", limits=limits, stored=True)
 
 
-def index_files(warehouse: Warehouse, change: Change, files: Sequence[str]) -> None:
-    """Note the keys of new bronze files."""
+def index_files(warehouse: Warehouse, change: Change, files: Sequence[str], count: int) -> None:
+    """Note the keys of new bronze files, which hold ``count`` versions together."""
     if files:
         name = F.concat_ws("/", MONTH, F.col("_metadata.file_name"))
         rows = warehouse.files("bronze", files).select("source", "id", name.alias("file"))
-        index = keys.key_index(rows, "id", ["source", "file"]).select(BRONZE_KEYS.fieldNames())
+        index = keys.key_index(rows, "id", ["source", "file"], count / len(files)).select(BRONZE_KEYS.fieldNames())
         change.append(tables.few_files(index, "source"), "bronze_keys", ["source"])
 
 
@@ -109,10 +109,11 @@ def merge_batch(
         retired = lookup_join(known.select(*key, "updated_at").distinct(), noted, [*key, "updated_at"], "left_anti", True, limits)
     files = change.append(tables.few_files(added, MONTH), "bronze", BRONZE_PARTITIONS)
     change.append(tables.few_files(cut_lineage(retired), "source"), "retired", ["source"])
-    index_files(warehouse, change, files)
+    count = added.count()
+    index_files(warehouse, change, files, count)
     if own:
         change.commit()
-    return added.count()
+    return count
 
 
 def read_by(source: str) -> list[str]:

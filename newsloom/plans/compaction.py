@@ -53,9 +53,10 @@ def compact(
             kept = index_without(warehouse.stored("bronze_keys", source), old)
             change.append(tables.few_files(kept, "source"), "bronze_keys", ["source"])
             change.remove("bronze_keys", before)
-        index_files(warehouse, change, new)
+        count = warehouse.files("bronze", new).count()
+        index_files(warehouse, change, new, count)
         change.commit("compact")
-        audit.stage("bronze", warehouse.files("bronze", new).count())
+        audit.stage("bronze", count)
     return months
 
 

@@ -191,7 +191,7 @@ def test_a_batch_opens_the_files_that_may_hold_its_keys(spark, tmp_path):
 @pytest.mark.parametrize("n", [5, 40_000])
 def test_the_index_misses_no_file(spark, n):
     held = spark.range(n).select(F.pmod("id", F.lit(7)).alias("file"), (F.col("id") * 977).cast("string").alias("id"))
-    index = keys.key_index(held, "id", ["file"]).withColumnRenamed("file", "name")
+    index = keys.key_index(held, "id", ["file"], n / 7).withColumnRenamed("file", "name")
     asked = spark.range(0, n * 977, 977 * max(1, n // 40)).select(F.col("id").cast("string").alias("id"))
     want = held.join(asked, "id").select("file").distinct()
     assert set(rows(want)) <= set(rows(keys.holding(index, asked, "id", "name")))
