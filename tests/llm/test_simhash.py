@@ -4,7 +4,7 @@ import pytest
 from xxhash import xxh64_intdigest
 
 from newsloom.llm.components import connected
-from newsloom.llm.simhash import BKTree, fingerprints, links, near_duplicates, simhash
+from newsloom.llm.simhash import BKTree, fingerprints, links, near_duplicates, one_of_each, simhash
 
 
 def plain_simhash(text):
@@ -107,3 +107,26 @@ def test_empty_and_clashing(spark):
     found = near_duplicates(fingerprints(frame, ["doc_id", "fingerprint"]))
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(
         [(1, 0, 1), (None, 0, 1), (0, signed(plain_simhash("a b c")), 0)], key=repr)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [32 << 20, -1])
+def test_one_of_each(spark, broadcast_bytes):
+    """The smallest id of each component stays; of equal ids the first row, a null id only where there is no other."""
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(500)]
+    texts = [" ".join(r.choices(words, k=r.randrange(20, 200))) for _ in range(30)]
+    texts += [t + " end" for t in texts[:20]] + [None, "", " \t\n", texts[0], texts[1].upper(), "One", "one"]
+    rows = [(None if i % 13 == 0 else i // 2, t) for i, t in enumerate(texts)]
+    r.shuffle(rows)
+    frame = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, fingerprint string").repartition(3)
+    found = one_of_each(frame, broadcast_bytes=broadcast_bytes)
+    assert found.columns == frame.columns
+    marked = [(i, plain_simhash(t)) for i, t in rows]
+    components = plain_components([(k, f) for k, (_, f) in enumerate(marked)])  # named by row, so that null ids count
+    groups = {}
+    for k, _, component in components:
+        groups.setdefault(component, []).append(marked[k][0])
+    want = [min((i for i in ids if i is not None), default=None) for ids in groups.values()]
+    assert sorted((row["doc_id"] for row in found.collect()), key=repr) == sorted(want, key=repr)
+    assert len(want) < len(rows) - 8
+    assert one_of_each(frame.limit(0)).count() == 0
