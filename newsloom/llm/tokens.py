@@ -1,14 +1,16 @@
 """Token ids of whole texts by a public tokenizer, fast enough for a pass over a corpus.
 
-The tokenizer cuts a text at white space before anything else and drops it, so the ids of a text are those of its
-chunks between white space, one after the other. A worker encodes each chunk once and looks it up afterwards; the
-library itself does every encoding. Texts in which that does not hold (special tokens written out, the separator
-used below) are given to the library as they are.
+Tokenizers of one known kind (``NORMALIZER``, ``SPLITTER``, ``SUFFIX``) cut a text at white space and between a letter and a
+sign before anything else, so the ids of a text are those of its chunks between these cuts, one after the other. A
+worker encodes each chunk once and looks it up afterwards; the library itself does every encoding. Texts in which that
+does not hold (special tokens written out, the separator used below), and all texts where the tokenizer is of any
+other kind, are given to the library as they are.
 """
 
 import gc
-import re
+import json
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +21,17 @@ TOGETHER = 256  # chunks that one call of the library encodes, with separators b
 REMEMBERED = 400_000  # chunks a worker keeps; beyond that its memory starts afresh, which changes no result
 SLICE = 1 << 21  # bytes of text encoded at once
 ID = np.dtype("<u4")
-# Letters that have one small form and no decomposed spelling of their own, then ASCII signs but the apostrophe: the
-# tokenizer cuts between the two and takes each as one word.
-LETTERS_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+# What a tokenizer file must say for its texts to be cut here.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+SUFFIX = "</w>"
+# Letters that have one small form and no decomposed spelling of their own, and ASCII signs but the apostrophe: the
+# tokenizer cuts between the two and takes a run of such letters as one word.
+LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
 
 
 def byte_letters() -> dict[int, str]:
@@ -43,8 +53,11 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        mark = self.whole(SEPARATOR)
-        self.mark = int(mark[0]) if len(mark) == 1 else None
+        file = json.loads(self.library.to_str())
+        known = file["normalizer"] == NORMALIZER and file["pre_tokenizer"] == SPLITTER
+        known = known and file["model"]["type"] == "BPE" and file["model"]["end_of_word_suffix"] == SUFFIX
+        mark = self.whole(SEPARATOR) if known else ()
+        self.mark = int(mark[0]) if len(mark) == 1 else None  # no mark: every text goes to the library
         self._forget()
 
     def whole(self, text: str) -> np.ndarray:
@@ -57,16 +70,15 @@ class Encoder:
     def _store(self, chunks: list[str], ids: list[list[int]]) -> None:
         self.place.update(zip(chunks, range(len(self.place), len(self.place) + len(chunks))))
         count = np.fromiter(map(len, ids), np.int32, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), ID, int(count.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), ID, int(count.sum()))
         self.first = np.concatenate([self.first, (len(self.ids) + np.cumsum(count) - count).astype(np.int32)])
         self.count = np.concatenate([self.count, count])
         self.ids = np.concatenate([self.ids, flat])
 
-    def _word(self, letters: str) -> list[int]:
-        small = letters.lower()
-        if not small.isascii():
-            small = small.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return [t.id for t in self.model.tokenize(small)]
+    def _words(self, words: list[str]) -> list[list[int]]:
+        tokenize = self.model.tokenize
+        small = [w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_LETTERS) for w in map(str.lower, words)]
+        return [[t.id for t in tokenize(w)] for w in small]
 
     def _by_library(self, chunks: list[str]) -> dict[str, list[int]]:
         groups = [chunks[i : i + TOGETHER] for i in range(0, len(chunks), TOGETHER)]
@@ -86,12 +98,12 @@ class Encoder:
         if len(self.place) > REMEMBERED:
             self._forget()
         new = [c for c in chunks if c not in self.place]
-        parts = [m.groups() if (m := LETTERS_SIGNS.fullmatch(c)) else None for c in new]
-        words = {letters: self._word(letters) for letters in {p[0] for p in parts if p} if letters}
-        others = {p[1] for p in parts if p and p[1]} | {c for c, p in zip(new, parts) if not p}
-        found = self._by_library(sorted(others))
-        words[""] = found[""] = []
-        self._store(new, [words[p[0]] + found[p[1]] if p else found[c] for c, p in zip(new, parts)])
+        is_word = pc.match_substring_regex(pa.array(new, pa.string()), f"^[{LETTERS}]+$").to_pylist()
+        words = [c for c, word in zip(new, is_word) if word]
+        others = [c for c, word in zip(new, is_word) if not word]
+        self._store(words, self._words(words))
+        found = self._by_library(others)
+        self._store(others, [found[c] for c in others])
 
     def _slice(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts, "")
@@ -101,6 +113,7 @@ class Encoder:
         odd = np.ones(len(texts), bool) if self.mark is None else odd.to_numpy(zero_copy_only=False)
         small = pc.if_else(pc.string_is_ascii(texts), pc.ascii_lower(texts), texts)
         plain = pc.if_else(pa.array(odd), "", small)
+        plain = pc.replace_substring_regex(plain, f"([{LETTERS}])([{SIGNS}])", r"\1 \2")
         words = pc.ascii_split_whitespace(plain)
         coded = words.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
