@@ -211,7 +211,8 @@ def as_hex(fingerprint: Column) -> Column:
 
 
 def one_of_each(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", radius: int = RADIUS, broadcast_bytes: int = 32 << 20
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", radius: int = RADIUS, broadcast_bytes: int = 32 << 20,
+    shingle: int = SHINGLE,
 ) -> DataFrame:
     """``docs`` with one row of each component: the smallest id, of equal ids the first row, null ids last.
 
@@ -220,7 +221,7 @@ def one_of_each(
     """
     columns = docs.columns
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    marked = cut_lineage(fingerprints(numbered, [*columns, "__row"], text, name="__mark"))
+    marked = cut_lineage(fingerprints(numbered, [*columns, "__row"], text, shingle, "__mark"))
     narrow = marked.select(
         "__row", F.col("__mark").alias("fingerprint"),
         F.struct(F.col(f"`{id_column}`").isNull().alias("none"), F.col(f"`{id_column}`").alias("id"), "__row").alias("rank"),
