@@ -6,9 +6,9 @@ so a lost executor costs a part of one stage.
 
 quality_rules      documents that a rule rejects go
 line_dedup         lines on over a tenth of their source's documents go; the documents stay
-near_duplicates    of each component of documents linked by a Jaccard similarity of five-word shingles of 0.8 or more,
-                   verified on the whole shingle sets, the document with the smallest id stays (of equal ids the
-                   first row; rows without an id only where no row of the component has one)
+near_duplicates    of each component of fingerprints (three-word shingles) linked at three differing bits or fewer, the
+                   document with the smallest id stays (of equal ids the first row; rows without an id only where no row
+                   of the component has one)
 decontaminate      documents that overlap a benchmark item go
 packing            one row per piece, with its ids and its place in a window of 2048
 
@@ -22,8 +22,8 @@ from newsloom.llm.cascade import quality_rules as judged
 from newsloom.llm.cascade import rule_order
 from newsloom.llm.decontaminate import without_overlaps
 from newsloom.llm.line_dedup import line_dedup as without_boilerplate
-from newsloom.llm.minhash import one_of_each
 from newsloom.llm.packing import pack
+from newsloom.llm.simhash import RADIUS, SHINGLE, one_of_each
 from newsloom.session import cut_lineage
 
 
@@ -36,7 +36,7 @@ def line_dedup(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    return one_of_each(docs)
+    return one_of_each(docs, radius=RADIUS, shingle=SHINGLE)
 
 
 def decontaminate(spark, docs, sf_dir):
