@@ -44,6 +44,11 @@ def byte_letters() -> dict[int, str]:
 BYTE_LETTERS = byte_letters()
 
 
+def settings(part) -> dict | None:
+    """What the file says of one part, without a copy of its vocabulary."""
+    return None if part is None else json.loads(part.__getstate__())
+
+
 class Encoder:
     """``encode(texts)`` gives the ids of each text, as arrays of unsigned 32-bit numbers; None counts as empty."""
 
@@ -53,9 +58,8 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        file = json.loads(self.library.to_str())
-        known = file["normalizer"] == NORMALIZER and file["pre_tokenizer"] == SPLITTER
-        known = known and file["model"]["type"] == "BPE" and file["model"]["end_of_word_suffix"] == SUFFIX
+        known = settings(self.library.normalizer) == NORMALIZER and settings(self.library.pre_tokenizer) == SPLITTER
+        known = known and getattr(self.model, "end_of_word_suffix", None) == SUFFIX
         mark = self.whole(SEPARATOR) if known else ()
         self.mark = int(mark[0]) if len(mark) == 1 else None  # no mark: every text goes to the library
         self._forget()
