@@ -10,8 +10,9 @@ the benchmark and what resembles it. The filter's size does not depend on any ta
 chance windows through to the exact join and changes no result.
 
 An overlap is reported if its agreeing tokens are ``MIN_SAME`` or, for shorter items, four fifths of the item, and
-four fifths of the tokens between its ends agree. Items of fewer than ``MIN_ITEM`` tokens cannot be told from
-chance and are not searched. Items with equal tokens are one: the smallest item id stands for them.
+four fifths of the tokens between its ends agree. Items of fewer than ``MIN_ITEM`` tokens are too short to tell a
+tolerant overlap from chance: a document overlaps one if its tokens contain all of the item's, in a row and unchanged. Such an
+item's window is the whole item, hashed under its own length. Items with equal tokens are one: the smallest item id stands for them.
 
 Defined results: null, empty and token-free texts overlap nothing, on either side; texts of any length are searched
 whole; a repeated row's overlaps are reported once for its id; a null id is an id of its own; items of different tokens are
@@ -88,8 +89,8 @@ def passing(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
     return some[in_filter(table, second[some])]
 
 
-def benchmark_items(benchmark: DataFrame, item: str = "item_id", text: str = "text", min_item: int = MIN_ITEM) -> DataFrame:
-    """(item_id, item_tokens, item) of the distinct items that are long enough; ``item``, a number once stored, is what joins go by."""
+def benchmark_items(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """(item_id, item_tokens, item) of the distinct items that have tokens; ``item``, a number once stored, is what joins go by."""
     chosen = benchmark.select(F.col(f"`{item}`").cast("long").alias("item_id"), F.col(f"`{text}`").alias("text"))
 
     def tokenized(batches):
@@ -99,12 +100,17 @@ def benchmark_items(benchmark: DataFrame, item: str = "item_id", text: str = "te
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["item_id", "item_tokens"])
 
     found = chosen.mapInArrow(tokenized, "item_id long, item_tokens array<long>")
-    distinct = found.filter(F.size("item_tokens") >= min_item).groupBy("item_tokens").agg(F.min("item_id").alias("item_id"))
+    distinct = found.filter(F.size("item_tokens") > 0).groupBy("item_tokens").agg(F.min("item_id").alias("item_id"))
     return distinct.select("item_id", "item_tokens", F.monotonically_increasing_id().alias("item"))
 
 
+def short_masks(masks: Sequence[str]) -> list[tuple[int, str]]:
+    """(number, mask) of whole short items, numbered after ``masks``: one for each length below ``MIN_ITEM``."""
+    return [(len(masks) + n, "1" * n) for n in range(1, MIN_ITEM)]
+
+
 def test_windows(items: DataFrame, masks: Sequence[str] = MASKS) -> DataFrame:
-    """(hash, item, item_at)"""
+    """(hash, item, item_at) of the masks' windows in items of ``MIN_ITEM`` tokens or more, and of whole shorter items."""
     masks = list(masks)
 
     def hashed(batches):
@@ -112,10 +118,12 @@ def test_windows(items: DataFrame, masks: Sequence[str] = MASKS) -> DataFrame:
             lists = batch.column(1)
             tokens = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            ids = batch.column(0)
-            for number, mask in enumerate(masks):
+            ids, sizes = batch.column(0), np.diff(starts)
+            for number, mask in [*enumerate(masks), *short_masks(masks)]:
                 hashes, at = window_hashes(tokens, starts, mask, number)
                 row = np.searchsorted(starts, at, side="right") - 1
+                fits = sizes[row] >= MIN_ITEM if number < len(masks) else sizes[row] == len(mask)
+                hashes, at, row = hashes[fits], at[fits], row[fits]
                 place = pa.array((at - starts[row]).astype(np.int64))
                 arrays = [pa.array(hashes.view(np.int64)), ids.take(pa.array(row)), place]
                 yield pa.RecordBatch.from_arrays(arrays, names=["hash", "item", "item_at"])
@@ -137,9 +145,15 @@ def filter_of(windows: DataFrame) -> np.ndarray:
     return table
 
 
-def segments(docs: DataFrame, keep: Sequence[str], text: str, table: np.ndarray, masks: Sequence[str] = MASKS) -> DataFrame:
-    """Stretches of texts around windows that pass the filter: their tokens and those windows."""
+def segments(
+    docs: DataFrame, keep: Sequence[str], text: str, table: np.ndarray, masks: Sequence[str] = MASKS, lengths: Sequence[int] = ()
+) -> DataFrame:
+    """Stretches of texts around windows that pass the filter: their tokens and those windows.
+
+    ``lengths`` are those of short items; only windows of these are looked for beside the masks'.
+    """
     keep, masks = list(keep), list(masks)
+    numbered = [*enumerate(masks), *[(n, m) for n, m in short_masks(masks) if len(m) in lengths]]
     chosen = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
     shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
     reach = max(map(len, masks)) + MARGIN
@@ -161,7 +175,7 @@ def segments(docs: DataFrame, keep: Sequence[str], text: str, table: np.ndarray,
     def cut(texts, bits):
         tokens, starts = token_hashes(texts)
         found = []
-        for number, mask in enumerate(masks):
+        for number, mask in numbered:
             hashes, at = window_hashes(tokens, starts, mask, number)
             some = passing(hashes, bits)
             found.append(np.stack([at[some], hashes[some].view(np.int64)], axis=1))
@@ -229,7 +243,8 @@ def overlaps(
     keep = list(keep)
     items = cut_lineage(benchmark_items(benchmark, item, item_text))
     windows = cut_lineage(test_windows(items, masks))
-    found = cut_lineage(segments(docs, keep, text, filter_of(windows), masks))
+    short = items.select(F.size("item_tokens").alias("n")).filter(F.col("n") < MIN_ITEM).distinct()  # fewer than MIN_ITEM rows
+    found = cut_lineage(segments(docs, keep, text, filter_of(windows), masks, [r["n"] for r in short.collect()]))
     hits = found.select("segment", F.explode("hits").alias("hit")).select("segment", "hit.hash", "hit.at")
     shift = (F.col("at") - F.col("item_at")).alias("shift")
     aligned = hits.join(windows, "hash").select("segment", F.col("item").alias("__item"), shift).distinct()
@@ -250,7 +265,11 @@ def overlaps(
                     at, length, same = best_overlap(tokens, own, shift)
                     if same > best[3]:
                         best = (begin.as_py() + at + shift, at, length, same)
-                if best[3] >= min(min_same, AGREE * len(own)) and best[3] >= AGREE * best[2]:
+                if len(own) < MIN_ITEM:
+                    enough = best[3] == len(own)
+                else:
+                    enough = best[3] >= min(min_same, AGREE * len(own)) and best[3] >= AGREE * best[2]
+                if enough:
                     rows.append(i)
                     out.append((*best, len(own)))
             if rows:
