@@ -1,5 +1,6 @@
 """Cleaning, tokens, stop words and URLs."""
 
+import string
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -12,8 +13,9 @@ SUMMARY_DROPS = r"[^a-z\s]"
 TITLE_DROPS = r"[^\p{Alnum} ]"
 SEPARATOR = r"\s+"
 DOMAIN = r"(https?://[^/]+)"
-# Punctuation at either end of a word, which is dropped before the word is looked up.
+# Punctuation, and punctuation at either end of a word, which is dropped before the word is looked up.
 # The second branch starts only where a run of punctuation starts, so a long run inside a word is tried once.
+PUNCTUATION = string.punctuation
 EDGE_PUNCTUATION = r"(?<!\S)\p{Punct}++|(?<!\p{Punct})\p{Punct}++(?!\S)"
 
 
@@ -47,12 +49,11 @@ def spoken_words(text) -> Column:
     return tokens(F.regexp_replace(_column(text), EDGE_PUNCTUATION, ""))
 
 
-def spoken_tokens(text) -> Column:
-    """Like ``spoken_words``, but a word of at most two signs without its punctuation keeps it: ``:)`` is a word."""
-    cut = F.transform(tokens(text), lambda token: F.struct(
-        token.alias("whole"), F.regexp_replace(token, EDGE_PUNCTUATION, "").alias("bare")
-    ))
-    return F.transform(cut, lambda word: F.when(F.length(word["bare"]) > 2, word["bare"]).otherwise(word["whole"]))
+def bare_token(token) -> Column:
+    """A token without the punctuation at its ends, but whole if at most two signs would be left: ``:)`` is a word."""
+    token = _column(token)
+    bare = F.btrim(token, F.lit(PUNCTUATION))
+    return F.when(F.length(bare) > 2, bare).otherwise(token)
 
 
 def domain_of(url) -> Column:

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.words import spoken_tokens
+from newsloom.functions.words import bare_token, tokens
 from newsloom.operators.lookup import DEFAULT_LIMITS, Limits, lookup_join
 from newsloom.session import cut_lineage
 from newsloom.sources.schemas import DOCUMENT_KEY
@@ -46,17 +46,21 @@ def is_negation(word: Column) -> Column:
     return F.coalesce(word.isin(NEGATIONS) | word.contains("n't"), F.lit(False))
 
 
-def with_preceding(words: Column, span: int = NEGATION_SPAN) -> Column:
-    """Each word with the ``span`` words before it, as structs ``token, before1, before2, ...``.
+def with_preceding(words: DataFrame, *columns: str, span: int = NEGATION_SPAN) -> DataFrame:
+    """``columns`` and each word of the list ``words``: place, token, before1, before2, ..., the ``span`` words before it.
 
-    The word list is zipped with copies of itself that start later, so no word meets the others of its
-    document through a window or a join. The last ``span`` structs have no token.
+    They are in lower case, from the list ``lowered``, and as they are written in ``spoken`` and ``spoken_before1, ...``.
+    These are picked out of the lists after the explode, so a join by token that follows has them picked for the
+    words it keeps only. The slice is the whole list: of a bare column Spark would infer a filter, and cut the text twice.
     """
-    shifted = [words.alias("token")]
-    for step in range(1, span + 1):
-        blanks = F.array(*[F.lit(None).cast("string")] * step)
-        shifted.append(F.concat(blanks, words).alias(f"before{step}"))
-    return F.arrays_zip(*shifted)
+    whole = F.slice("lowered", F.lit(1), F.lit((1 << 31) - 1))
+    placed = words.select(*columns, "words", "lowered", F.posexplode(whole).alias("place", "token"))
+    before = range(1, span + 1)
+    return placed.select(
+        *columns, "place", "token", *[F.get("lowered", F.col("place") - step).alias(f"before{step}") for step in before],
+        F.get("words", F.col("place")).alias("spoken"),
+        *[F.get("words", F.col("place") - step).alias(f"spoken_before{step}") for step in before],
+    )
 
 
 def compound(total: Column) -> Column:
@@ -115,21 +119,20 @@ def sentiment_scores(
     counts with its mean valence.
     """
     lexicon = cut_lineage(lexicon.groupBy(F.lower("token").alias("token")).agg(F.avg("valence").alias("valence")))
-    said = documents.select(*key, F.col(text).alias("said"), spoken_tokens(text).alias("words"))
-    shouted = F.size(F.filter("words", is_upper))
+    # Stored without the words of degree, so that words need not be compared with these one by one.
+    valued = cut_lineage(lexicon.filter(~F.col("token").isin(BOOSTERS + DAMPENERS)))
+    said = documents.select(*key, F.col(text).alias("said"), F.transform(tokens(text), bare_token).alias("words"))
+    said = said.withColumn("lowered", F.transform("words", lambda word: F.lower(word)))
+    mixed = F.exists("words", is_upper) & F.exists("words", lambda word: ~is_upper(word))
     said = said.select(
-        *key, "words", ((shouted > 0) & (shouted < F.size("words"))).alias("mixed"), emphasis(F.col("said")).alias("emphasis"),
-        F.array_position(F.transform("words", lambda w: F.lower(w)), "but").alias("but"),
+        *key, "words", "lowered", mixed.alias("mixed"), emphasis(F.col("said")).alias("emphasis"),
+        F.array_position("lowered", "but").alias("but"),
     )
-    placed = F.posexplode(with_preceding(F.col("words"))).alias("place", "at")
-    spoken = said.select(*key, "mixed", "emphasis", "but", placed).select("*", "at.*").drop("at")
+    spoken = with_preceding(said, *key, "mixed", "emphasis", "but")
     befores = [f"before{step}" for step in range(1, NEGATION_SPAN + 1)]
-    spoken = spoken.withColumnRenamed("token", "spoken").withColumn("token", F.lower("spoken"))
-    rows = lookup_join(spoken.filter(~F.col("token").isin(BOOSTERS + DAMPENERS)), lexicon, ["token"], limits=limits)
-    rows = rows.withColumns({
-        **{f"loud_{name}": F.col("mixed") & is_upper(F.col(name)) for name in ("spoken", *befores)},
-        **{name: F.lower(name) for name in befores},
-    })
+    rows = lookup_join(spoken, valued, ["token"], limits=limits)
+    loud = {"loud_spoken": "spoken", **{f"loud_{name}": f"spoken_{name}" for name in befores}}
+    rows = rows.withColumns({name: F.col("mixed") & is_upper(F.col(word)) for name, word in loud.items()}).drop(*loud.values())
     for name in befores:
         known = lexicon.select(F.col("token").alias(name), F.lit(True).alias(f"known_{name}"))
         rows = lookup_join(rows, known, [name], "left", limits=limits)
