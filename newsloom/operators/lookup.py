@@ -23,6 +23,8 @@ class Limits:
 
 
 DEFAULT_LIMITS = Limits()
+# Buckets of key hashes that are counted for each heavy key there may be.
+BUCKETS = 8
 
 
 def fits(table: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
@@ -41,6 +43,27 @@ def _prefixed(table: DataFrame, on: Sequence[str]) -> DataFrame:
     return table.withColumnsRenamed({name: f"__{name}" for name in on})
 
 
+def heavy_keys(facts: DataFrame, on: Sequence[str], limits: Limits = DEFAULT_LIMITS) -> tuple[DataFrame, bool]:
+    """The keys ``on`` with more than 1 / ``limits.heavy_keys`` of the rows, stored, and whether there are any.
+
+    A heavy key makes the bucket of its hash heavy. So buckets are counted first, a few for each heavy key there may be, and keys only
+    in those that are heavy, mostly none: the keys of all rows are not shuffled. The names of heavy buckets are fewer than
+    ``limits.heavy_keys``.
+    """
+    on = list(on)
+    bucket = F.pmod(F.xxhash64(*on), F.lit(BUCKETS * limits.heavy_keys)).alias("__bucket")
+    sizes = facts.select(bucket).groupBy("__bucket").count()
+    total = facts.count()
+    crowded = sizes.filter(F.col("count") * limits.heavy_keys > total).select("__bucket").collect()
+    if not crowded:
+        return cut_lineage(facts.select(on).limit(0)), False
+    crowded = F.broadcast(facts.sparkSession.createDataFrame(crowded, "__bucket long"))
+    candidates = facts.select(*on, bucket).join(crowded, "__bucket", "left_semi")
+    counted = candidates.groupBy(on).count().filter(F.col("count") * limits.heavy_keys > total)
+    heavy = cut_lineage(counted.select(on))
+    return heavy, not heavy.isEmpty()
+
+
 def lookup_join(
     facts: DataFrame,
     table: DataFrame,
@@ -54,7 +77,7 @@ def lookup_join(
 
     A table of checked size is broadcast, so the facts are not shuffled at all. Beyond that the rows of
     heavy keys meet their few table rows by broadcast and only the others are shuffled: the result is the
-    same, and no key, null included, can fill one task. The facts are computed once and stored for that, and of
+    same, and no key, null included, can fill one task. Without heavy keys it is a plain join. The facts are computed once and stored for that, and of
     the keys only the heavy ones are. ``table`` is read more than once, so pass an expensive one through
     ``cut_lineage`` first. With ``stored`` the facts are the scan of a table: they are read again instead of stored again, the keys
     for the count and the columns that are asked for.
@@ -72,9 +95,9 @@ def lookup_join(
         return join(facts, table, broadcast=True)
 
     facts = facts if stored else cut_lineage(facts)
-    total = facts.count()
-    heavy = facts.groupBy(on).count().filter(F.col("count") * limits.heavy_keys > total)
-    heavy = cut_lineage(heavy.select(on))
+    heavy, any_heavy = heavy_keys(facts, on, limits)
+    if not any_heavy:
+        return join(facts, table, broadcast=False)
     hot_facts = join(facts, heavy, True, "left_semi", True)
     cold_facts = join(facts, heavy, True, "left_anti", True)
     hot_table = join(table, heavy, True, "left_semi", True)

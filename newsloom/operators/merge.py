@@ -65,33 +65,50 @@ def unknown_keys(
     return fresh.withColumn(ACTIVE, F.lit(True))
 
 
-def newer_versions(
-    stage: DataFrame, incoming: DataFrame, key: Sequence[str], version: str = "updated_at",
-    limits: Limits = DEFAULT_LIMITS,
+def accepted_versions(
+    stored: DataFrame, incoming: DataFrame, key: Sequence[str], version: str = "updated_at"
 ) -> DataFrame:
-    """The latest incoming version of each key that is unknown or strictly newer than all stored, active.
+    """(new, stored, known) of each incoming key that is unknown or strictly newer than all ``stored``: its latest row,
+    the newest version stored and whether the key is known; null where it is not.
 
-    The stage is read for its keys and versions only, and only those of incoming keys are compared, in the
-    same aggregate that reduces the incoming rows to the latest.
+    ``stored`` is read for its keys and versions only and may hold other keys, which are dropped by the aggregate that
+    reduces the incoming rows to the latest: one shuffle for both.
     """
     key = list(key)
-    stored = lookup_join(
-        stage.select(*key, F.col(version).alias("stored")), incoming.select(key).distinct(), key,
-        "left_semi", limits=limits,
-    ).withColumn("known", F.lit(True))
+    held = stored.select(*key, F.col(version).alias("stored"), F.lit(True).alias("known")).dropna(subset=key)
     arriving = incoming.select(
         *key, F.struct(*incoming.columns).alias("content"), _rank(incoming, key, version).alias("rank")
     )
     compared = (
-        arriving.unionByName(stored, allowMissingColumns=True)
+        arriving.unionByName(held, allowMissingColumns=True)
         .groupBy(key)
         .agg(F.max_by("content", "rank").alias("new"), F.max("stored").alias("stored"),
              F.max("known").alias("known"))
+        .filter(F.col("new").isNotNull())
     )
     newer = F.col(f"new.{version}") > F.col("stored")
     first_version = F.col("stored").isNull() & F.col(f"new.{version}").isNotNull()
-    accepted = compared.filter(F.col("known").isNull() | newer | first_version)
-    return cut_lineage(accepted.select("new.*").withColumn(ACTIVE, F.lit(True)))
+    return cut_lineage(compared.filter(F.col("known").isNull() | newer | first_version).select("new", "stored", "known"))
+
+
+def activated(accepted: DataFrame) -> DataFrame:
+    """The rows of ``accepted_versions``, active."""
+    return accepted.select("new.*").withColumn(ACTIVE, F.lit(True))
+
+
+def newer_versions(
+    stage: DataFrame, incoming: DataFrame, key: Sequence[str], version: str = "updated_at",
+    limits: Limits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """The latest incoming version of each key that is unknown or strictly newer than all stored, active.
+
+    The stage is read for its keys and versions only, and only those of incoming keys are compared.
+    """
+    key = list(key)
+    stored = lookup_join(
+        stage.select(*key, version), incoming.select(key).distinct(), key, "left_semi", limits=limits,
+    )
+    return activated(accepted_versions(stored, incoming, key, version))
 
 
 def merge_flag_only(

@@ -19,6 +19,8 @@ from newsloom.sources.snapshots import Change
 POLICIES = ("history", "flag_only")
 # A batch of more keys asks all files: it would open most of them anyway.
 INDEXED_KEYS = 100_000
+# What a row of a batch counts for when it is asked whether its keys can be broadcast.
+KEY_BYTES = 64
 
 
 def with_month(documents: DataFrame) -> DataFrame:
@@ -86,7 +88,8 @@ def merge_batch(
 
     Nothing stored is rewritten: new versions are appended, and versions that are no longer active are noted by
     key and version in a narrow table that readers join, so a batch writes in proportion to itself, and reads the files
-    that may hold its keys. All becomes visible with the commit: with ``change`` the caller's, else one made here.
+    that may hold its keys. The keys of a batch too large to broadcast are compared with those of all files in one aggregate.
+    All becomes visible with the commit: with ``change`` the caller's, else one made here.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy is one of {POLICIES}, not {policy!r}")
@@ -97,18 +100,24 @@ def merge_batch(
     key = list(DOCUMENT_KEY)
     change.adopt("retired")
     incoming = with_month(documents).select(BRONZE.fieldNames())
-    arrived = cut_lineage(incoming.select(key).distinct())
-    known = cut_lineage(stored_versions(warehouse, source, arrived, limits, change.of("bronze", f"source={source}/")))
+    held = change.of("bronze", f"source={source}/")
     if policy == "history":
-        added = merge.newer_versions(known, incoming, key, limits=limits)
-        newest = known.groupBy(key).agg(F.max("updated_at").alias("updated_at"))
-        retired = lookup_join(newest, added.select(key), key, "left_semi", limits=limits)
+        if incoming.count() <= max(INDEXED_KEYS, limits.table_bytes // KEY_BYTES):
+            arrived = cut_lineage(incoming.select(key).distinct())
+            known = stored_versions(warehouse, source, arrived, limits, held)
+        else:
+            known = warehouse.files("bronze", held)
+        accepted = merge.accepted_versions(known, incoming, key)
+        added = merge.activated(accepted)
+        retired = accepted.filter("known").select(*[F.col(f"new.{name}").alias(name) for name in key], F.col("stored").alias("updated_at"))
     else:
+        arrived = cut_lineage(incoming.select(key).distinct())
+        known = cut_lineage(stored_versions(warehouse, source, arrived, limits, held))
         added = cut_lineage(merge.unknown_keys(known, incoming, key, limits=limits))
         noted = warehouse.stored("retired", source)
-        retired = lookup_join(known.select(*key, "updated_at").distinct(), noted, [*key, "updated_at"], "left_anti", True, limits)
+        retired = cut_lineage(lookup_join(known.select(*key, "updated_at").distinct(), noted, [*key, "updated_at"], "left_anti", True, limits))
     files = change.append(tables.few_files(added, MONTH), "bronze", BRONZE_PARTITIONS)
-    change.append(tables.few_files(cut_lineage(retired), "source"), "retired", ["source"])
+    change.append(tables.few_files(retired, "source"), "retired", ["source"])
     count = added.count()
     index_files(warehouse, change, files, count)
     if own:
