@@ -24,6 +24,8 @@ COUNTS = {
     "trends": (TRENDS, word_trends),
     "sources": (ACTIVITY, lambda documents, stop_words: source_activity(documents)),
 }
+# What the counts read of a document.
+COUNTED_COLUMNS = ("source", "id", "title", "news_site", "url", "published_at")
 # A feed's counts are folded into one set of files when batches have left more of them than this.
 COUNT_FILES = 32
 
@@ -45,6 +47,9 @@ def refresh_trends(
         batches = changes_since(warehouse, source, limits) if change.base.marks.get(f"words/{source}") == words else None
         if batches is None:
             documents = active_documents(warehouse, source)
+        else:  # each count reads both; the retired ones come of joins
+            added, lost = batches
+            batches = added, cut_lineage(lost.select(*COUNTED_COLUMNS))
         for name, (schema, count) in COUNTS.items():
             old = change.of(name, f"source={source}/")
             if batches is None:
