@@ -4,7 +4,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.session import cut_lineage
@@ -102,3 +102,37 @@ def lookup_join(
     cold_facts = join(facts, heavy, True, "left_anti", True)
     hot_table = join(table, heavy, True, "left_semi", True)
     return join(hot_facts, hot_table, broadcast=True).unionByName(join(cold_facts, table, broadcast=False))
+
+
+def least_frequent(table: DataFrame, frequency: str, limits: Limits = DEFAULT_LIMITS) -> int | None:
+    """The least ``frequency`` down to which the rows of ``table`` may be broadcast; None if not even the most frequent.
+
+    These are the most frequent keys up to ``table_bytes`` together, and all heavy ones. Sizes and numbers of keys are
+    summed by frequency first, of which there are few: the square root of twice the sum of frequencies at most.
+    """
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    steps = cut_lineage(table.groupBy(frequency).agg(size.alias("size"), F.count(F.lit(1)).alias("keys")))
+    total = steps.agg(F.sum(F.col(frequency) * F.col("keys")).alias("total")).first()["total"] or 0
+    down = Window.orderBy(F.desc(frequency)).rowsBetween(Window.unboundedPreceding, 0)
+    may = (F.sum("size").over(down) <= limits.table_bytes) | (F.col(frequency) * limits.heavy_keys > total)
+    return steps.withColumn("may", may).filter("may").agg(F.min(frequency).alias("least")).first()["least"]
+
+
+def frequency_join(
+    facts: DataFrame, table: DataFrame, on: Sequence[str], frequency: str, limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
+    """``lookup_join``, inner, to a table of keys and how many facts each has at most (and nothing else).
+
+    Beyond the limit the most frequent keys are broadcast as far as it goes, so the facts of the rare ones only, few
+    as a rule, are shuffled. The facts are computed once and stored with what they have met; their keys need not be counted.
+    """
+    on = list(on)
+    if fits(table, limits):
+        return lookup_join(facts, table, on, limits=limits)
+    least = least_frequent(table, frequency, limits)
+    if least is None:
+        return facts.join(table, on)
+    frequent, rare = table.filter(F.col(frequency) >= least), table.filter(F.col(frequency) < least)
+    met = cut_lineage(facts.join(F.broadcast(frequent), on, "left"))
+    missed = met.filter(F.col(frequency).isNull()).drop(frequency).join(rare, on)
+    return met.filter(F.col(frequency).isNotNull()).unionByName(missed)

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from newsloom.functions.stopwords import SUMMARY_STOP_WORDS
 from newsloom.functions.words import clean_summary, tokens, without
-from newsloom.operators.lookup import DEFAULT_LIMITS, Limits, lookup_join
+from newsloom.operators.lookup import DEFAULT_LIMITS, Limits, frequency_join, lookup_join
 from newsloom.session import cut_lineage
 from newsloom.sources.schemas import DOCUMENT_KEY
 
@@ -84,17 +84,16 @@ def tfidf(
     """One row per document and term with ``tf``, ``df`` and ``tfidf``, of ``terms`` only if given.
 
     The frequencies of all terms may be large and a few terms are in most documents, hence the
-    size-checked, skew-proof join.
+    size-checked, skew-proof join. A term has at most ``df`` rows to meet, so beyond the limit the most frequent terms are broadcast and
+    only the rows of rare ones are shuffled.
     """
     total = documents.count()
     frequencies = document_frequency(documents, stop_words)
     if terms is not None:
         frequencies = lookup_join(frequencies, terms.select("term"), ["term"], "left_semi", limits=limits)
-    weights = frequencies.withColumn("idf", idf_weight(total, F.col("df")))
-    weighted = lookup_join(
-        term_counts(documents, key, stop_words), cut_lineage(weights), ["term"], limits=limits
-    )
-    return weighted.withColumn("tfidf", F.col("tf") * F.col("idf")).drop("idf")
+    counts = term_counts(documents, key, stop_words)
+    weighted = frequency_join(counts, cut_lineage(frequencies), ["term"], "df", limits).select(*counts.columns, "df")
+    return weighted.withColumn("tfidf", F.col("tf") * idf_weight(total, F.col("df")))
 
 
 def keywords(weighted: DataFrame, size: int = 5, key: Sequence[str] = DOCUMENT_KEY) -> DataFrame:

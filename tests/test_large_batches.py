@@ -2,7 +2,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 from test_feeds import document, land
 
-from newsloom.operators.lookup import Limits, heavy_keys, lookup_join
+from newsloom.operators.lookup import Limits, frequency_join, heavy_keys, least_frequent, lookup_join
+from newsloom.operators.terms import tfidf
 from newsloom.plans import bronze
 from newsloom.plans.bronze import load_feed
 from newsloom.plans.warehouse import Warehouse
@@ -46,3 +47,25 @@ def test_a_batch_too_large_to_broadcast_meets_the_files_in_one_aggregate(spark,
         seen.append(rows(warehouse.table("bronze", "articles").select("id", "updated_at", "is_active")))
         seen.append(rows(warehouse.table("retired", "articles").select("id", "updated_at")))
     assert seen[0] == seen[2] and seen[1] == seen[3] and len(seen[1]) == 7
+
+
+def test_frequent_terms_are_broadcast_as_far_as_the_limit_goes(spark):
+    counts = {f"t{i}": 1 + i for i in range(30)}
+    facts = spark.createDataFrame([(k, j) for k, n in counts.items() for j in range(n)], "term string, doc int")
+    table = spark.createDataFrame(list(counts.items()), "term string, df long")
+    want = sorted((k, j, n) for k, n in counts.items() for j in range(n))
+    leasts = []
+    for size, heavy in ((0, 1), (0, 40), (100, 1), (400, 1), (10**6, 1)):
+        limits = Limits(table_bytes=size, heavy_keys=heavy)
+        joined = frequency_join(facts, table, ["term"], "df", limits).select("term", "doc", "df")
+        assert sorted(tuple(r) for r in joined.collect()) == want
+        leasts.append(least_frequent(table, "df", limits))
+    assert leasts[0] is None and leasts[1] == sum(counts.values()) // 40 + 1 and leasts[2] > leasts[3] > leasts[4] == 1
+    plan = frequency_join(facts, table, ["term"], "df", Limits(table_bytes=400))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and "broadcast" not in plan  # only what the frequent terms have left over is joined
+
+
+def test_weights_beyond_the_limit(spark):
+    documents = spark.createDataFrame([(1, "moon moon base"), (2, "moon mars"), (2, "mars again"), (None, "base"), (4, None)], "doc_id long, summary string")
+    within, beyond = (tfidf(documents, key=["doc_id"], stop_words=(), limits=limits) for limits in (Limits(), Limits(60, 5)))
+    assert within.columns == beyond.columns and rows(within) == rows(beyond) and within.count() == 6
