@@ -52,7 +52,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     for step in _steps:
         step.append(path)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
