@@ -62,7 +62,7 @@ def op4_credentials(spark, sf_dir):
 
 
 def op5_perplexity(spark, sf_dir):
-    """Perplexity of each document under a model of all documents labelled good, and whether its language allows it."""
+    """Perplexity of each document under a word model of the other half's documents labelled good, and whether its language allows it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return classify(docs, table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id"))
 
