@@ -77,6 +77,39 @@ def dropping(spark: SparkSession):
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``cut_lineage`` stored for each of ``tables``; frames that read them end here."""
+    for table in tables:
+        for file in table.inputFiles()[:1]:
+            place = table.sparkSession._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def freeing_shuffles(spark: SparkSession):
+    """Within the block the shuffle files of a query are deleted when it ends, not when the driver's collector comes upon them."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+@contextmanager
+def shared_arrays(spark: SparkSession, *arrays):
+    """A broadcast of the bytes of numpy ``arrays``, deleted from all machines at the end of the block."""
+    shared = spark.sparkContext.broadcast([a.tobytes() for a in arrays])
+    try:
+        yield shared
+    finally:
+        shared.destroy()
+
+
 def frozen(df: DataFrame) -> DataFrame:
     """``df`` stored in the shared folder with its partitions and the order of their rows."""
     shared_folder(df.sparkSession)

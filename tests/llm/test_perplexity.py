@@ -175,3 +175,30 @@ def test_order_of_words_and_letters_beyond_ascii_count(spark):
     for i in range(3):
         assert found[103 + i]["perplexity"] > 2 * found[100 + i]["perplexity"]
         assert found[100 + i]["kept"] and not found[103 + i]["kept"]
+
+
+def test_what_a_step_has_used_up_is_deleted(spark):
+    """All n-grams were on disk together: as counts, as shuffles, joined by context, and as asked for by the texts."""
+    from pathlib import Path
+
+    from newsloom.session import shared_folder
+
+    def stored():
+        folders = {f.parent for f in Path(shared_folder(spark).removeprefix("file:")).rglob("*.parquet")}
+        return {f: spark.read.parquet(str(f)).columns for f in folders - before}
+
+    before = set()
+    before = set(stored())
+    rows = [(i, "xx", t) for i, t in enumerate(made(40, 5))]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    trusted = docs.filter("doc_id % 3 > 0").select("doc_id")
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(cleanup, None)
+    found = P.classify(docs, trusted, most=20, waves=2)
+    assert spark.conf.get(cleanup, None) == setting
+    tables = stored()
+    assert sum("nats" in names for names in tables.values()) == 2  # a half each
+    assert not [names for names in tables.values() if {"w1", "weight", "known", "word"} & set(names)]
+    perplexity = {r["doc_id"]: r["perplexity"] for r in found.collect()}
+    other = {r["doc_id"]: r["perplexity"] for r in P.classify(docs, trusted, most=0, waves=1).collect()}
+    assert len(perplexity) == 40 and perplexity == pytest.approx(other, rel=1e-9)
